@@ -8,12 +8,30 @@ from pyspark.sql import functions as F
 from fluvion.functions.text import MISSING_WORDS, canonical_uid, clean_text, cluster_number, key_text, strip
 from fluvion.llm.components import connected_components
 from fluvion.llm.golden import best_rows, golden_records
+from fluvion.llm.matching import match_sites
 from fluvion.llm.mixing import mix
 from fluvion.llm.nearest_time import nearest_in_time
+from fluvion.llm.pii import find_pii, mask_pii
 from fluvion.llm.tokenizer import count_tokens, encode_corpus
 from fluvion.session import materialize
 from fluvion.sources.tables import table
 
+# --- p1: entities across sources ---------------------------------------------------------------
+
+
+def p1_matches(spark: SparkSession, sf: str) -> DataFrame:
+    """Each linked climatology station with its cluster and confidence."""
+    clim = table(spark, sf, "climatology_stations", "station_uid", "station_name", "river_name", "lat", "lon", "reported_area").filter("station_uid is not null")
+    cat = table(spark, sf, "station_catalog", "cluster_uid", "cluster_id", "station_name", "river_name", "lat", "lon", "basin_area")
+    first = clim.select(F.trim("station_uid").alias("id"), F.col("station_name").alias("name"), F.col("river_name").alias("river"), "lat", "lon", F.when(F.col("reported_area") > 0, F.col("reported_area")).alias("area")).distinct()
+    second = cat.select(canonical_uid(F.col("cluster_uid"), F.col("cluster_id")).alias("id"), F.col("station_name").alias("name"), F.col("river_name").alias("river"), "lat", "lon", F.col("basin_area").alias("area")).filter("id is not null").distinct()
+    return match_sites(first, second).select(F.col("a").alias("station_uid"), F.col("b").alias("cluster_uid"), "confidence")
+
+
+def p1_found(spark: SparkSession, sf: str) -> DataFrame:
+    return p1_matches(spark, sf).select("station_uid", "cluster_uid")
+
+
 # --- p5: best representative -------------------------------------------------------------------
 
 
@@ -104,7 +122,19 @@ def p9_shares(spark: SparkSession, sf: str) -> DataFrame:
     return _mixed(spark, sf)[1]
 
 
-QUERIES = {"p5_found": p5_found, "p5_golden": p5_golden, "p6_found": p6_found, "p7_found": p7_found, "p8_ids": p8_ids, "p9_mix": p9_mix, "p9_shares": p9_shares}
+# --- p10: personal information -----------------------------------------------------------------
+
+
+def p10_found(spark: SparkSession, sf: str) -> DataFrame:
+    return find_pii(table(spark, sf, "documents", "doc_id", "text"))
+
+
+def p10_masked(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document with its personal data replaced."""
+    return mask_pii(table(spark, sf, "documents", "doc_id", "text"))
+
+
+QUERIES = {"p1_found": p1_found, "p1_matches": p1_matches, "p5_found": p5_found, "p5_golden": p5_golden, "p6_found": p6_found, "p7_found": p7_found, "p8_ids": p8_ids, "p9_mix": p9_mix, "p9_shares": p9_shares, "p10_found": p10_found, "p10_masked": p10_masked}
 
 _MISSING = ", ".join("'" + w.replace("'", "''") + "'" for w in MISSING_WORDS)
 _TRIM = "trim({0}, ' ' || chr(9) || chr(10) || chr(13) || chr(160) || chr(8203) || chr(65279))"
