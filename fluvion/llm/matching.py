@@ -24,7 +24,7 @@ from fluvion.llm.components import connected_components
 from fluvion.llm.names import alike, site, water
 from fluvion.session import materialize
 
-WINDOW = 24
+WINDOW = 32
 BLOCK = 4096
 NEAR_KM = 3.0
 LEAST = 0.64
@@ -80,7 +80,9 @@ def _keys() -> Column:
         F.when(has_place, bar(_interleaved(0.0), lat, lon)),
         F.when(has_place, bar(_interleaved(0.5), lat, lon)),
     ]
-    return F.filter(F.array(*[F.struct(F.lit(k).alias("k"), v.alias("key")) for k, v in enumerate(keys)]), lambda s: s["key"].isNotNull())
+    # a variant of a record is sorted by its name only: its plain form stands for it under the other keys
+    rows = [F.struct(F.lit(k).alias("k"), (v if k < 3 else F.when(~F.col("turned"), v)).alias("key")) for k, v in enumerate(keys)]
+    return F.filter(F.array(*rows), lambda s: s["key"].isNotNull())
 
 
 def confidence(own_a, q_a, rv_a, la_a, lo_a, area_a, own_b, q_b, rv_b, la_b, lo_b, area_b, turned: bool) -> float:
@@ -128,12 +130,14 @@ def confidence(own_a, q_a, rv_a, la_a, lo_a, area_a, own_b, q_b, rv_b, la_b, lo_
         # no position: the name nearly the same, and the river or the area to support it
         if same < 0.8 or not ((river is not None and river >= 0.8) or (area is not None and area < 0.12)) or (river is not None and river < 0.6):
             return 0.0
+    if not named and turned:
+        return 0.0
     if not named:
         # no name: the same spot, and nothing against it
         if near is None or near > 0.6 or (river is not None and river < 0.6) or (area is not None and area > 0.3) or (river is None and area is None and near > 0.2):
             return 0.0
         return round(min(0.9, 0.66 + 0.2 * (1 - near / 0.6) + (0.04 if area is not None else 0.0)), 6)
-    if turned and same < 0.85:
+    if turned and (same < 0.85 or (river is not None and river < 0.6) or (area is not None and area > 0.3)):
         return 0.0
     return round(got / weight, 6)
 
@@ -178,6 +182,8 @@ def _windows(records: DataFrame, window: int, least: float) -> DataFrame:
             dx = ((lo[i] - lo[j] + 540.0) % 360.0 - 180.0) * 111.195 * cos[i]
             far = np.hypot((la[i] - la[j]) * 111.195, dx) > NEAR_KM * 1.05  # False where a part is missing
             for x, y in zip(i[~far].tolist(), j[~far].tolist()):
+                if side[x] == side[y] and (turned[x] and turned[y] or not own[x] or not own[y]):
+                    continue  # one site among the first table's: with names, and one of them as it stands
                 if side[x] > side[y] or (side[x] == side[y] and ids[x] > ids[y]):
                     x, y = y, x
                 c = confidence(own[x], qual[x], rv[x], la[x], lo[x], area[x] or 0.0, own[y], qual[y], rv[y], la[y], lo[y], area[y] or 0.0, turned[x] or turned[y])
@@ -288,14 +294,17 @@ def match_sites(first: DataFrame, second: DataFrame, window: int = WINDOW, least
     Both: id (string), name, river, lat, lon, area; ``second`` may have several rows an id, as the same entity is written in
     several ways. Null, blank and missing-word fields take no part in a comparison; a record without name and
     without position has no match. Records of ``first`` that are one site among themselves are assigned together, and such
-    sites and the entities are assigned one to one, so each record has at most one entity. Repeated rows count
-    once. Empty inputs give no rows.
+    sites and the entities are assigned one to one with the largest total confidence; a record that this leaves
+    without entity, though like one, is a further record of that entity. Each record has at most one. Repeated
+    rows count once. Empty inputs give no rows.
     """
     a = placed(normalised(first, "name", "river"), "lat", "lon").withColumn("side", F.lit(0))
     plain = a.select("side", "id", "own", "qual", "rv", "la", "lo", "area", F.lit(False).alias("turned"))
-    # the same record with name and river exchanged, and with latitude and longitude exchanged, where that is possible
+    # the same record with name and river exchanged
     other = a.filter("own2 <> ''").select("side", "id", F.col("own2").alias("own"), F.col("qual2").alias("qual"), F.col("rv2").alias("rv"), "la", "lo", "area", F.lit(True).alias("turned"))
-    flipped = a.filter("own <> '' and la is not null and abs(lo) <= 90").select("side", "id", "own", "qual", "rv", F.col("lo").alias("la"), F.col("la").alias("lo"), "area", F.lit(True).alias("turned"))
+    # positions with latitude and longitude exchanged, or with the sign of one of them lost
+    wrong = F.array(F.struct(F.when(F.abs("lo") <= 90, F.col("lo")).alias("la"), F.col("la").alias("lo")), F.struct(F.col("la").alias("la"), (-F.col("lo")).alias("lo")), F.struct((-F.col("la")).alias("la"), F.col("lo").alias("lo")))
+    flipped = a.filter("own <> '' and la is not null").withColumn("w", F.explode(wrong)).filter("w.la is not null").select("side", "id", "own", "qual", "rv", "w.la", "w.lo", "area", F.lit(True).alias("turned"))
     b = placed(normalised(second, "name", "river"), "lat", "lon").withColumn("area", F.when(F.col("area") > 0, F.col("area")))
     # of an entity: one position, area and river (each by the smallest of what its rows have), every spelling of its name
     whole = b.groupBy("id").agg(F.min(F.when(F.col("la").isNotNull(), F.struct("la", "lo"))).alias("p"), F.percentile_approx("area", 0.5).alias("area"), F.min_by("rv", F.struct(-F.length("rv"), "rv")).alias("rv"))
@@ -308,9 +317,10 @@ def match_sites(first: DataFrame, second: DataFrame, window: int = WINDOW, least
     within = pairs.filter("kind = 1 and confidence >= 0.75")
     sites = connected_components(within, "a", "b").select(F.col("vertex").alias("a"), F.col("component").alias("site"))
     across = materialize(across.join(sites, "a", "left").withColumn("site", F.coalesce("site", "a")))
-    chosen = assign(across.groupBy(F.col("site").alias("a"), "b").agg(F.max("w").alias("w")))
-    # each member of a site that was compared with the entity itself, or whose site was
-    members = across.select("a", "site").distinct()
-    own = across.groupBy("a", "b").agg(F.max("w").alias("own"))
-    out = members.join(chosen.select(F.col("a").alias("site"), "b", "w"), "site").join(own, ["a", "b"], "left")
-    return out.select("a", "b", F.coalesce("own", "w").alias("confidence"))
+    chosen = materialize(assign(across.groupBy(F.col("site").alias("a"), "b").agg(F.max("w").alias("w"))))
+    # each member of a site that is itself like the site's entity
+    own = across.groupBy("a", "site", "b").agg(F.max("w").alias("confidence"))
+    linked = own.join(chosen.select(F.col("a").alias("site"), "b"), ["site", "b"]).select("a", "b", "confidence")
+    # what the assignment leaves out is a further record of the entity it is most like
+    left = own.join(linked.select("a"), "a", "left_anti").groupBy("a").agg(F.max(F.struct("confidence", "b")).alias("m"))
+    return linked.unionByName(left.select("a", "m.b", "m.confidence"))
