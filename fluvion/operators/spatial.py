@@ -50,21 +50,6 @@ class Grid:
         return ring, F.least(F.floor((lon + 180.0) / 360.0 * cols), cols - 1).cast("bigint")
 
 
-def _max_distance(lat, lon, lat0, lat1, lon0, lon1, radius):
-    """Largest distance from a point to a cell: it is always reached at a corner."""
-    return F.greatest(*(haversine_m(lat, lon, a, b, radius) for a in (lat0, lat1) for b in (lon0, lon1)))
-
-
-def _min_distance(lat, lon, lat0, lat1, lon0, lon1, radius):
-    """Smallest distance from a point to a cell: along its own meridian, else at the nearer side meridian."""
-    wrap = lambda d: F.pmod(d + F.lit(540.0), F.lit(360.0)) - 180.0
-    inside = F.pmod(lon - lon0, F.lit(360.0)) <= (lon1 - lon0)
-    dl = F.radians(F.when(inside, F.lit(0.0)).otherwise(F.least(F.abs(wrap(lon0 - lon)), F.abs(wrap(lon1 - lon)))))
-    p = F.radians(lat)
-    nearest = F.degrees(F.atan2(F.sin(p), F.cos(p) * F.cos(dl)))
-    return haversine_m(lat, F.lit(0.0), F.greatest(lat0, F.least(lat1, nearest)), F.degrees(dl), radius)
-
-
 def cover_discs(regions: DataFrame, lat: str, lon: str, distance_m: float, grid: Grid, radius: float = EARTH_RADIUS_M) -> DataFrame:
     """Rows of ``regions`` times the cells of their discs: adds _cell, _parent (base cell) and _inside."""
     delta = np.degrees(distance_m / radius)
@@ -79,15 +64,29 @@ def cover_discs(regions: DataFrame, lat: str, lon: str, distance_m: float, grid:
     df = df.withColumn("_u", F.explode(F.when(whole, F.sequence(F.lit(0).cast("bigint"), F.col("_n") - 1)).otherwise(F.sequence(c0, c1))))
     df = df.withColumn("_col", F.pmod(F.col("_u"), F.col("_n"))).drop("_u").withColumn("_parent", Grid.key(0, F.col("_ring"), F.col("_col")))
 
+    hav = lambda m: float(np.sin(min(m / radius, np.pi) / 2) ** 2)
+    outside, inside = hav(distance_m + SLACK_M), hav(max(distance_m - SLACK_M, 0.0))
+    half_sq = lambda angle: F.pow(F.sin(angle / 2), F.lit(2.0))
+    temporary = ("_a0", "_a1", "_c0", "_c1", "_s0", "_s1", "_lat_in", "_lon_in", "_wide")
+
     def classed(d: DataFrame, level: int) -> DataFrame:
+        """Class of each cell: 2 inside (its farthest corner is), 1 edge, 0 outside, by haversines of the parts.
+
+        hav(distance) = hav(dlat) + cos cos hav(dlon). The largest value is at a corner; the smallest is at least the sum
+        of the smallest parts, so a cell may pass for edge though it is outside, never the other way round.
+        """
         n = SPLIT**level
-        lat0 = F.col("_ring") * F.lit(grid.height / n) - 90.0
+        lat0 = F.radians(F.col("_ring") * F.lit(grid.height / n) - 90.0)
+        lat1 = F.radians((F.col("_ring") + 1) * F.lit(grid.height / n) - 90.0)
         w = F.lit(360.0) / (F.col("_n") * n)
         lon0 = F.col("_col") * w - 180.0
-        args = (la, lo, lat0, lat0 + F.lit(grid.height / n), lon0, lon0 + w, radius)
-        wide = w > 45.0  # near a pole the rules for the sides don't hold: leave such cells to the exact test
-        d = d.withColumn("_class", F.when(wide, F.lit(1)).when(_min_distance(*args) > distance_m + SLACK_M, F.lit(0)).when(_max_distance(*args) <= distance_m - SLACK_M, F.lit(2)).otherwise(F.lit(1)))
-        return d.filter(F.col("_class") > 0)
+        p = F.radians(la)
+        d = d.withColumns({"_a0": half_sq(lat0 - p), "_a1": half_sq(lat1 - p), "_c0": F.cos(p) * F.cos(lat0), "_c1": F.cos(p) * F.cos(lat1), "_s0": half_sq(F.radians(lon0 - lo)), "_s1": half_sq(F.radians(lon0 + w - lo)), "_lat_in": (p >= lat0) & (p <= lat1), "_lon_in": F.pmod(lo - lon0, F.lit(360.0)) <= w, "_wide": w > 45.0})
+        far = F.greatest(F.col("_a0") + F.col("_c0") * F.greatest("_s0", "_s1"), F.col("_a1") + F.col("_c1") * F.greatest("_s0", "_s1"))
+        near = F.when(F.col("_lat_in"), F.lit(0.0)).otherwise(F.least("_a0", "_a1")) + F.when(F.col("_lon_in"), F.lit(0.0)).otherwise(F.least("_c0", "_c1") * F.least("_s0", "_s1"))
+        # near a pole a wide cell's sides behave otherwise: leave such cells to the exact test
+        d = d.withColumn("_class", F.when(F.col("_wide"), F.lit(1)).when(near > outside, F.lit(0)).when(far <= inside, F.lit(2)).otherwise(F.lit(1)))
+        return d.filter(F.col("_class") > 0).drop(*temporary)
 
     steps = F.array(*[F.lit(i) for i in range(SPLIT)])
     df, done = classed(df, 0), None
@@ -124,7 +123,8 @@ def within_distance(points: DataFrame, point_lat: str, point_lon: str, centres:
     grid = Grid(np.degrees(distance_m / radius) / 2)
     p = points.filter(valid_position(F.col(point_lat), F.col(point_lon))).withColumn("_plat", F.col(point_lat)).withColumn("_plon", wrap_lon(F.col(point_lon)))
     c = centres.filter(valid_position(F.col(centre_lat), F.col(centre_lon))).withColumn("_clat", F.col(centre_lat)).withColumn("_clon", wrap_lon(F.col(centre_lon)))
-    cover = cover_discs(c, "_clat", "_clon", distance_m, grid, radius)
+    # a cover has a hundred cells or so a centre: spread the centres first, also where their table is one small file
+    cover = cover_discs(c.repartition(int(points.sparkSession.conf.get("spark.sql.shuffle.partitions"))), "_clat", "_clon", distance_m, grid, radius)
     p = p.withColumn("_parent", Grid.key(0, *grid.cell(F.col("_plat"), F.col("_plon"), 0)))
     p, cover = _salted(p, cover, hot_rows)
     cells = F.array(*[Grid.key(level, *grid.cell(F.col("_plat"), F.col("_plon"), level)) for level in range(grid.levels)])

@@ -41,3 +41,12 @@ def p4_unit_changes(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES = {"p2_found": p2_found, "p3_found": p3_found, "p4_found": p4_found, "p4_unit_changes": p4_unit_changes}
+
+_D = "2 * 6371008.8 * asin(sqrt(least(1.0, pow(sin(radians(c.la - s.la) / 2), 2) + cos(radians(s.la)) * cos(radians(c.la)) * pow(sin(radians(c.lo - s.lo) / 2), 2))))"
+_POS = "{0}_lat between -90 and 90 and {0}_lon between -180 and 360 and not isnan({0}_lat) and not isnan({0}_lon)"
+ORACLE = {
+    "p2_found": f"""
+with s as (select distinct satellite_key k, satellite_lat la, satellite_lon lo from satellite_links where satellite_key is not null and {_POS.format('satellite')}),
+c as (select distinct 'SED' || lpad(cast(coalesce(cast(linked_cluster_id as bigint), try_cast(regexp_extract(upper(trim(linked_cluster_uid)), '([0-9]+)$', 1) as bigint)) as varchar), 6, '0') u, linked_lat la, linked_lon lo from satellite_links where {_POS.format('linked')} and (linked_cluster_id is not null or linked_cluster_uid is not null))
+select distinct k as satellite_key, u as linked_cluster_uid from s, c where abs(s.la - c.la) < 0.02 and {_D} <= 2000""",
+}
