@@ -105,7 +105,7 @@ def _salted(points: DataFrame, cover: DataFrame, hot_rows: int) -> tuple[DataFra
     """Spread base cells of more than ``hot_rows`` points: points over salts, their cover rows copied to each salt."""
     hot = points.groupBy("_parent").count().filter(F.col("count") > hot_rows).select("_parent", F.ceil(F.col("count") / hot_rows).cast("int").alias("_salts"))
     # at most (points / hot_rows) rows: a bound that follows from the count itself
-    points = points.join(hot, "_parent", "left").withColumn("_salt", F.when(F.col("_salts").isNull(), 0).otherwise(F.pmod(F.xxhash64(*points.columns), F.col("_salts")).cast("int"))).drop("_salts")
+    points = points.join(hot, "_parent", "left").withColumn("_salt", F.when(F.col("_salts").isNull(), 0).otherwise(F.pmod(F.xxhash64("_p"), F.col("_salts")).cast("int"))).drop("_salts")
     cover = cover.join(hot, "_parent", "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_salts"), F.lit(1)) - 1))).drop("_salts")
     return points, cover
 
@@ -117,12 +117,11 @@ def within_distance(points: DataFrame, point_lat: str, point_lon: str, centres:
     Rows whose position is missing, NaN or out of range have no partner. Longitudes may use -180..180 or 0..360.
     Equal rows stay as often as they are; an empty input gives no rows.
     """
-    centres = centres.select([F.col(f"`{c}`").alias(f"centre_{c}" if c in points.columns else c) for c in centres.columns])
-    centre_lat, centre_lon = (f"centre_{c}" if c in points.columns else c for c in (centre_lat, centre_lon))
-    keep = [*points.columns, *centres.columns]
     grid = Grid(np.degrees(distance_m / radius) / 2)
-    p = points.filter(valid_position(F.col(point_lat), F.col(point_lon))).withColumn("_plat", F.col(point_lat)).withColumn("_plon", wrap_lon(F.col(point_lon)))
-    c = centres.filter(valid_position(F.col(centre_lat), F.col(centre_lon))).withColumn("_clat", F.col(centre_lat)).withColumn("_clon", wrap_lon(F.col(centre_lon)))
+    # rows travel whole in one struct, so no name of an input can clash with a working column
+    whole = lambda d: F.struct(*[F.col(f"`{c}`") for c in d.columns])
+    p = points.filter(valid_position(F.col(point_lat), F.col(point_lon))).select(whole(points).alias("_p"), F.col(point_lat).cast("double").alias("_plat"), wrap_lon(F.col(point_lon).cast("double")).alias("_plon"))
+    c = centres.filter(valid_position(F.col(centre_lat), F.col(centre_lon))).select(whole(centres).alias("_c"), F.col(centre_lat).cast("double").alias("_clat"), wrap_lon(F.col(centre_lon).cast("double")).alias("_clon"))
     # a cover has a hundred cells or so a centre: spread the centres first, also where their table is one small file
     cover = cover_discs(c.repartition(int(points.sparkSession.conf.get("spark.sql.shuffle.partitions"))), "_clat", "_clon", distance_m, grid, radius)
     p = p.withColumn("_parent", Grid.key(0, *grid.cell(F.col("_plat"), F.col("_plon"), 0)))
@@ -130,7 +129,8 @@ def within_distance(points: DataFrame, point_lat: str, point_lon: str, centres:
     cells = F.array(*[Grid.key(level, *grid.cell(F.col("_plat"), F.col("_plon"), level)) for level in range(grid.levels)])
     p = p.withColumn("_cell", F.explode(cells)).drop("_parent")
     near = p.join(cover.drop("_parent"), ["_cell", "_salt"]).filter(F.col("_inside") | (haversine_m(F.col("_plat"), F.col("_plon"), F.col("_clat"), F.col("_clon"), radius) <= distance_m))
-    return near.select(*keep)
+    theirs = [F.col(f"_c.`{c}`").alias(f"centre_{c}" if c in points.columns else c) for c in centres.columns]
+    return near.select(*[F.col(f"_p.`{c}`") for c in points.columns], *theirs)
 
 
 def _cover_polygon(ring: np.ndarray, height: float, rings: int, levels: int, limit: int):
@@ -211,7 +211,8 @@ def points_in_polygons(points: DataFrame, lat: str, lon: str, polygons: DataFram
     regions = polygons.select(F.col(region_id).alias("_rid"), F.col(ring).alias("_ring"))
     kind = regions.schema["_rid"].dataType.simpleString()
     covered = regions.mapInPandas(cover, f"_rid {kind}, _cell bigint, _inside boolean")
-    p = points.filter(valid_position(F.col(lat), F.col(lon))).withColumn("_plat", F.col(lat)).withColumn("_plon", wrap_lon(F.col(lon)))
+    whole = F.struct(*[F.col(f"`{c}`") for c in points.columns]).alias("_p")
+    p = points.filter(valid_position(F.col(lat), F.col(lon))).select(whole, F.col(lat).cast("double").alias("_plat"), wrap_lon(F.col(lon).cast("double")).alias("_plon"))
     p = p.withColumn("_cell", F.explode(F.array(*[Grid.key(level, *grid.cell(F.col("_plat"), F.col("_plon"), level)) for level in range(levels)])))
     near = p.join(covered, "_cell")
 
@@ -221,4 +222,4 @@ def points_in_polygons(points: DataFrame, lat: str, lon: str, polygons: DataFram
 
     sure = near.filter("_inside")
     edge = near.filter("not _inside").join(regions, "_rid").filter(exact("_plat", "_plon", "_ring")).drop("_ring")
-    return sure.unionByName(edge).select(*points.columns, F.col("_rid").alias(region_id))
+    return sure.unionByName(edge).select(*[F.col(f"_p.`{c}`") for c in points.columns], F.col("_rid").alias(region_id))

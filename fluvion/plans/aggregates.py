@@ -162,9 +162,9 @@ def pair_stats(spark: S, sf: str) -> DataFrame:
     return g.filter("n >= 3 and a > 0 and b > 0").drop("a", "b")
 
 
-@query(f"with {OBS} select source, count(ssc) as n, round(avg(ssc), 4) as mean, round(median(ssc), 6) as median, round(stddev_pop(ssc), 4) as sd, round(min(ssc), 6) as lo, round(max(ssc), 6) as hi, round(quantile_cont(ssc, 0.05), 6) as p05, round(quantile_cont(ssc, 0.95), 6) as p95, round(avg(case when ssc > 0 then log10(ssc) end), 6) as log_mean from obs group by 1")
+@query(f"with {OBS} select source, count(ssc) as n, round(avg(ssc), 4) as mean, round(median(ssc), 4) as median, round(stddev_pop(ssc), 4) as sd, round(min(ssc), 4) as lo, round(max(ssc), 4) as hi, round(quantile_cont(ssc, 0.05), 4) as p05, round(quantile_cont(ssc, 0.95), 4) as p95, round(avg(case when ssc > 0 then log10(ssc) end), 4) as log_mean from obs group by 1")
 def numeric_profile(spark: S, sf: str) -> DataFrame:
-    r = lambda c, n, d=6: F.round(c, d).alias(n)
+    r = lambda c, n, d=4: F.round(c, d).alias(n)
     return observations(spark, sf).groupBy("source").agg(F.count("ssc").alias("n"), r(F.avg("ssc"), "mean", 4), r(F.median("ssc"), "median"), r(F.stddev_pop("ssc"), "sd", 4), r(F.min("ssc"), "lo"), r(F.max("ssc"), "hi"), r(F.percentile("ssc", 0.05), "p05"), r(F.percentile("ssc", 0.95), "p95"), r(F.avg(F.when(F.col("ssc") > 0, F.log10("ssc"))), "log_mean"))
 
 

@@ -142,7 +142,7 @@ def read_config(path: str) -> dict:
 
 def merged_attributes(df: DataFrame, key: str, attributes: str) -> DataFrame:
     """One map a key from the maps of its files: each attribute's distinct values, sorted and joined by ' | '. Blank values are left out."""
-    kv = df.select(key, F.explode(attributes).alias("k", "v")).withColumn("v", F.trim("v")).filter("v is not null and v <> '' and lower(v) not in ('nan', 'none')")
+    kv = df.select(F.col(key).alias("_key"), F.explode(attributes).alias("_k", "_v")).withColumn("_v", F.trim("_v")).filter("_v is not null and _v <> '' and lower(_v) not in ('nan', 'none')")
     # distinct values first: a key with very many files then gathers values, not files
-    kv = kv.distinct().groupBy(key, "k").agg(F.array_join(F.sort_array(F.collect_set("v")), " | ").alias("v"))
-    return kv.groupBy(key).agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("k", "v")))).alias(attributes))
+    kv = kv.distinct().groupBy("_key", "_k").agg(F.array_join(F.sort_array(F.collect_set("_v")), " | ").alias("_v"))
+    return kv.groupBy(F.col("_key").alias(key)).agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("_k", "_v")))).alias(attributes))
