@@ -11,11 +11,8 @@ differ (position, name), so a frequent value is spread over many places of the o
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -166,7 +163,7 @@ def _windows(records: DataFrame, window: int, least: float) -> DataFrame:
     block = F.floor(F.col("pos") / BLOCK)
     rows = rows.withColumn("block", F.explode(F.when((F.col("pos") % BLOCK < window) & (block > 0), F.array(block, block - 1)).otherwise(F.array(block))))
 
-    def compare(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def compare(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("pos", kind="stable")
         side, k, at = pdf["side"].to_numpy(), pdf["k"].to_numpy(), pdf["pos"].to_numpy()
         la, lo = pdf["la"].to_numpy(float), pdf["lo"].to_numpy(float)
@@ -298,6 +295,8 @@ def match_sites(first: DataFrame, second: DataFrame, window: int = WINDOW, least
     without entity, though like one, is a further record of that entity. Each record has at most one. Repeated
     rows count once. Empty inputs give no rows.
     """
+    need = ("id", "name", "river", "lat", "lon", "area")  # other columns take no part, whatever their names
+    first, second = first.select(*need).filter("id is not null"), second.select(*need).filter("id is not null")
     a = placed(normalised(first, "name", "river"), "lat", "lon").withColumn("side", F.lit(0))
     plain = a.select("side", "id", "own", "qual", "rv", "la", "lo", "area", F.lit(False).alias("turned"))
     # the same record with name and river exchanged
