@@ -147,8 +147,9 @@ def _spikes(y: np.ndarray, seg: np.ndarray, day: np.ndarray, n: int, jump: float
     return out
 
 
-def _stuck(x: np.ndarray, seg: np.ndarray, least: int, level: float) -> np.ndarray:
-    """Runs of one value that are longer than the series' own rate of repeats at that level explains: a mask."""
+def _stuck(x: np.ndarray, seg: np.ndarray, least: int, level: float, quiet: np.ndarray | None = None) -> np.ndarray:
+    """Runs of one value that are longer than the series' own rate of repeats at that level explains: a mask. A run over
+    ``quiet`` rows, on which what the value derives from repeats itself too, is explained."""
     out = np.zeros(len(x), bool)
     if not len(x):
         return out
@@ -158,6 +159,8 @@ def _stuck(x: np.ndarray, seg: np.ndarray, least: int, level: float) -> np.ndarr
     bounds = np.flatnonzero(np.r_[True, seg[1:] != seg[:-1], True])
     for k in np.flatnonzero((length >= least) & (x[start] != 0)):
         i, run = start[k], length[k]
+        if quiet is not None and quiet[i + 1 : i + run].mean() >= 0.9:
+            continue
         b = np.searchsorted(bounds, i, side="right") - 1
         lo, hi = bounds[b], bounds[b + 1]
         v, tie = x[lo:hi], ~new[lo:hi]
@@ -166,8 +169,10 @@ def _stuck(x: np.ndarray, seg: np.ndarray, least: int, level: float) -> np.ndarr
         rest = ~own
         everywhere = tie[rest].sum() / max(rest.sum(), 1)
         near = rest & (np.abs(v - x[i]) <= 0.35 * abs(x[i]))
-        p = (tie[near].sum() + 10 * everywhere + 0.05) / (near.sum() + 10)
-        if run > 1 and (hi - lo) * p ** (run - 1) < level:
+        # a coarsely rounded series repeats itself everywhere, and at low values most: the larger rate counts, and
+        # where there is little else to go by nothing is flagged
+        p = max((tie[near].sum() + 10 * everywhere + 0.05) / (near.sum() + 10), everywhere)
+        if rest.sum() >= 20 and (hi - lo) * p ** (run - 1) < level:
             out[i : i + run] = True
     return out
 
@@ -176,6 +181,7 @@ def flag_readings(seg: np.ndarray, day: np.ndarray, values: dict[str, np.ndarray
     """0 plausible, 1 spike, 2 stuck, 3 impossible for each reading; rows in order of series and day."""
     n = int(seg[-1]) + 1 if len(seg) else 0
     flags, wrong = {}, np.zeros(len(seg), bool)
+    quiet, changed = np.zeros(len(seg), bool), np.zeros(len(seg), bool)  # some input repeats itself, none changes
     for name in sorted(values, key=lambda v: v == derived):
         x = values[name]
         f = np.zeros(len(x), np.int8)
@@ -186,12 +192,16 @@ def flag_readings(seg: np.ndarray, day: np.ndarray, values: dict[str, np.ndarray
         s, v = seg[k], x[k]
         low = _segment_low(v, s, n)
         y = np.log10(np.maximum(v, low[s]))
-        stuck = _stuck(v, s, least_run, run_level)
+        stuck = _stuck(v, s, least_run, run_level, quiet[k] if name == derived else None)
         spike = _spikes(y, s, day[k], n, jumps.get(name, 0.7), sigmas, longest, rounds, wrong[k] if name == derived else None, 0.55)
         f[k[stuck]] = 2
         f[k[spike & ~stuck]] = 1
         if name != derived:
             wrong |= (f == 1) | bad
+            tie = np.r_[False, (v[1:] == v[:-1]) & (s[1:] == s[:-1])] if len(v) else np.zeros(0, bool)
+            quiet[k[tie]] = True
+            changed[k[~tie]] = True
+            quiet &= ~changed
         flags[name] = f
     return flags
 
