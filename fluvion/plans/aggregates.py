@@ -34,14 +34,14 @@ def quality_rank(spark: S, sf: str) -> DataFrame:
 @query(f"with {_RK} select cluster_uid, obs_date, record_id, source_station_uid, quality_rank, q, ssc, ssl, n_rows, n_rows > 1 as is_overlap from (select pb.*, rk.quality_rank, row_number() over (partition by pb.cluster_uid, obs_date order by quality_rank, record_id) k, count(*) over (partition by pb.cluster_uid, obs_date) n_rows from pb join rk on rk.cluster_uid = pb.cluster_uid and rk.source_station_uid = pb.source_station_uid) where k = 1")
 def best_row_per_day(spark: S, sf: str) -> DataFrame:
     """The flagship: of each cluster and day the row of the best source, with its provenance and overlap."""
-    o = observations(spark, sf).filter("cluster_uid is not null")
+    o = observations(spark, sf, ("cluster_uid", "obs_date")).filter("cluster_uid is not null")
     b = best_rows_per_day(o, "cluster_uid", "source_station_uid", "obs_date", "record_id")
     return b.select("cluster_uid", "obs_date", "record_id", "source_station_uid", "quality_rank", "q", "ssc", "ssl", "n_rows", "is_overlap")
 
 
 @query(f"with {OBS} select cluster_uid, obs_date, count(*) as n, count(*) > 1 as is_overlap from obs where ssc is not null or ssl is not null group by 1, 2")
 def overlap_flag(spark: S, sf: str) -> DataFrame:
-    return publishable(observations(spark, sf)).groupBy("cluster_uid", "obs_date").agg(F.count("*").alias("n"), (F.count("*") > 1).alias("is_overlap"))
+    return publishable(observations(spark, sf, ("cluster_uid", "obs_date"))).groupBy("cluster_uid", "obs_date").agg(F.count("*").alias("n"), (F.count("*") > 1).alias("is_overlap"))
 
 
 @query(f"with {OBS} select coalesce(source, 'ALL') as source, count(*) as n_rows, count(*) filter (ssc is not null or ssl is not null) as n_published, count(*) filter (q is not null and ssc is null and ssl is null) as n_q_only, count(distinct cluster_uid) as n_clusters from obs group by rollup (source)")
@@ -114,7 +114,7 @@ def geo_rollup(spark: S, sf: str) -> DataFrame:
 @query(f"with {_RK} select cluster_uid, obs_date, source_station_uid, record_id, n_rows as n_candidate_rows, case when k = 1 then 1 else 0 end as selected_flag from (select pb.*, row_number() over (partition by pb.cluster_uid, obs_date order by quality_rank, record_id) k, count(*) over (partition by pb.cluster_uid, obs_date) n_rows from pb join rk on rk.cluster_uid = pb.cluster_uid and rk.source_station_uid = pb.source_station_uid) where n_rows > 1")
 def overlap_candidates(spark: S, sf: str) -> DataFrame:
     """Every row of days with several candidates, the selected one marked."""
-    p = publishable(observations(spark, sf).filter("cluster_uid is not null"))
+    p = publishable(observations(spark, sf, ("cluster_uid", "obs_date")).filter("cluster_uid is not null"))
     best = best_rows_per_day(p, "cluster_uid", "source_station_uid", "obs_date", "record_id").filter("is_overlap").select("cluster_uid", "obs_date", F.col("record_id").alias("chosen"), F.col("n_rows").alias("n_candidate_rows"))
     j = p.join(best, ["cluster_uid", "obs_date"])
     return j.select("cluster_uid", "obs_date", "source_station_uid", "record_id", "n_candidate_rows", F.when(F.col("record_id") == F.col("chosen"), 1).otherwise(0).alias("selected_flag"))

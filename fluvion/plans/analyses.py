@@ -94,7 +94,7 @@ def cluster_inventory(spark: S, sf: str) -> DataFrame:
 
 @query(f"with {OBS}, d as (select cluster_uid, obs_date, count(distinct source) k from obs group by 1, 2) select cluster_uid, count(*) as n_days, count(*) filter (k > 1) as n_shared_days, round(100.0 * count(*) filter (k > 1) / count(*), 6) as pct_shared from d group by 1")
 def exact_date_overlap(spark: S, sf: str) -> DataFrame:
-    d = observations(spark, sf).groupBy("cluster_uid", "obs_date").agg(F.countDistinct("source").alias("k"))
+    d = observations(spark, sf, ("cluster_uid", "obs_date")).groupBy("cluster_uid", "obs_date").agg(F.countDistinct("source").alias("k"))
     return d.groupBy("cluster_uid").agg(F.count("*").alias("n_days"), F.count_if(F.col("k") > 1).alias("n_shared_days"), percent(F.count_if(F.col("k") > 1), F.count("*")).alias("pct_shared"))
 
 
@@ -150,7 +150,7 @@ def source_variable_counts(spark: S, sf: str) -> DataFrame:
 @query(f"with {OBS}, c as (select count(distinct cluster_uid) nc, count(distinct obs_date) nd from obs) select nc as n_clusters, nd as n_days, nc * nd as cells, (select count(*) from (select distinct cluster_uid, obs_date from obs where ssc is not null)) as filled, round(100.0 * (select count(*) from (select distinct cluster_uid, obs_date from obs where ssc is not null)) / (nc * nd), 6) as filled_pct from c")
 def matrix_fill(spark: S, sf: str) -> DataFrame:
     # rows a (cluster, day) first: the counts of distinct values then run over an already reduced table
-    d = observations(spark, sf).groupBy("cluster_uid", "obs_date").agg(F.max(F.when(F.col("ssc").isNotNull(), 1).otherwise(0)).alias("f"))
+    d = observations(spark, sf, ("cluster_uid", "obs_date")).groupBy("cluster_uid", "obs_date").agg(F.max(F.when(F.col("ssc").isNotNull(), 1).otherwise(0)).alias("f"))
     g = d.agg(F.countDistinct("cluster_uid").alias("n_clusters"), F.countDistinct("obs_date").alias("n_days"), F.sum("f").alias("filled"))
     cells = F.col("n_clusters") * F.col("n_days")
     return g.select("n_clusters", "n_days", cells.alias("cells"), "filled", F.round(100.0 * F.col("filled") / cells, 6).alias("filled_pct"))

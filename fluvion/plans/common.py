@@ -19,9 +19,14 @@ def present(c: str, flag: str | None = None) -> Column:
     return F.when(~gone, F.col(c))
 
 
-def observations(spark: SparkSession, sf: str) -> DataFrame:
-    """Daily readings, each record once; a variable is null where it is missing or flagged 3 or 9."""
-    d = table(spark, sf, "daily_matrix", "record_id", "cluster_uid", "source_station_uid", "source", "obs_date", "q", "ssc", "ssl", "q_flag", "ssc_flag", "ssl_flag").dropDuplicates(["record_id"])
+def observations(spark: SparkSession, sf: str, by: tuple[str, ...] = ()) -> DataFrame:
+    """Daily readings, each record once; a variable is null where it is missing or flagged 3 or 9.
+
+    ``by``: keys that the query groups by next. Rows are then partitioned by them once, which serves both the removal
+    of repeats (a repeated record has the same keys) and the grouping: one shuffle of the readings instead of two.
+    """
+    d = table(spark, sf, "daily_matrix", "record_id", "cluster_uid", "source_station_uid", "source", "obs_date", "q", "ssc", "ssl", "q_flag", "ssc_flag", "ssl_flag")
+    d = d.repartition(*by).dropDuplicates([*by, "record_id"]) if by else d.dropDuplicates(["record_id"])
     return d.withColumns({v: present(v, f"{v}_flag") for v in VARIABLES})
 
 

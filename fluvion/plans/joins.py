@@ -104,7 +104,7 @@ def cross_join_small(spark: S, sf: str) -> DataFrame:
 @query(f"with {OBS} select cluster_uid, obs_date, count(distinct source_station_uid) as n_series, round(max(ssc) - min(ssc), 6) as ssc_spread, count(ssc) as n_ssc from obs where cluster_uid is not null group by 1, 2 having count(distinct source_station_uid) > 1")
 def overlap_groups(spark: S, sf: str) -> DataFrame:
     """Days of a cluster with readings of several series: one row a group, with its spread, instead of all pairs."""
-    o = observations(spark, sf).filter("cluster_uid is not null")
+    o = observations(spark, sf, ("cluster_uid", "obs_date")).filter("cluster_uid is not null")
     g = o.groupBy("cluster_uid", "obs_date").agg(F.countDistinct("source_station_uid").alias("n_series"), F.round(F.max("ssc") - F.min("ssc"), 6).alias("ssc_spread"), F.count("ssc").alias("n_ssc"))
     return g.filter("n_series > 1")
 
