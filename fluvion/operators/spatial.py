@@ -104,7 +104,7 @@ def cover_discs(regions: DataFrame, lat: str, lon: str, distance_m: float, grid:
 def _salted(points: DataFrame, cover: DataFrame, hot_rows: int) -> tuple[DataFrame, DataFrame]:
     """Spread base cells of more than ``hot_rows`` points: points over salts, their cover rows copied to each salt."""
     hot = points.groupBy("_parent").count().filter(F.col("count") > hot_rows).select("_parent", F.ceil(F.col("count") / hot_rows).cast("int").alias("_salts"))
-    # at most (points / hot_rows) rows: a bound that follows from the count itself
+    hot = F.broadcast(hot)  # at most points / hot_rows rows of 12 bytes: two million for 10^12 points
     points = points.join(hot, "_parent", "left").withColumn("_salt", F.when(F.col("_salts").isNull(), 0).otherwise(F.pmod(F.xxhash64("_p"), F.col("_salts")).cast("int"))).drop("_salts")
     cover = cover.join(hot, "_parent", "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_salts"), F.lit(1)) - 1))).drop("_salts")
     return points, cover
