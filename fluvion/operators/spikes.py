@@ -115,6 +115,11 @@ def _spikes(y: np.ndarray, seg: np.ndarray, day: np.ndarray, n: int, jump: float
             ok = (off >= need[t]) & (np.abs(after - before) <= 0.6 * off)
             # the same against the nearest readings alone, for outliers on the limbs of a flood
             ok |= (near >= need[t]) & (off >= 0.7 * need[t]) & (np.abs(near_after - near_before) <= 0.65 * near)
+            # a patch that sits on a flood: both its edges jump by more than a river can in one step, though the
+            # levels before and after differ
+            edges = np.minimum(np.abs(diff[t]), np.abs(diff[e]))
+            mean = sum(sign * v[t + k] for k in range(length)) / length - sign * (before + after) / 2
+            ok |= (length <= 3) & (edges >= need[t]) & (off >= 0.4 * need[t]) & (mean >= need[t]) & ~hit[t - 1] & ~hit[e]
             for k in range(length):
                 hit[t[ok] + k] = True
         # at the ends of a series one side has to do, for one or two readings and a larger jump
