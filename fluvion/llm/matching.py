@@ -248,7 +248,8 @@ def _auction(edges: DataFrame, step: float = 0.01, max_rounds: int = 400) -> Dat
     for _ in range(max_rounds):
         prices = held.select("b", "price")
         open_ = edges.join(held.filter("a is not null").select("a"), "a", "left_anti").join(prices, "b", "left").withColumn("net", F.col("w") - F.coalesce("price", F.lit(0.0)))
-        bids = open_.filter("net > 0").groupBy("a").agg(F.max(F.struct("net", "b")).alias("top"), F.max_by("net", F.struct("net", "b"), ).alias("n1"), F.slice(F.sort_array(F.collect_list("net"), asc=False), 1, 2).alias("nets"))
+        # a bidder has at most 14 * WINDOW candidates: two neighbours' windows under each of seven keys
+        bids = open_.filter("net > 0").groupBy("a").agg(F.max(F.struct("net", "b")).alias("top"), F.slice(F.sort_array(F.collect_list("net"), asc=False), 1, 2).alias("nets"))
         bids = bids.select("a", F.col("top.b").alias("b"), (F.col("top.net") - F.greatest(F.coalesce(F.try_element_at("nets", F.lit(2)), F.lit(0.0)), F.lit(0.0)) + step).alias("raise"))
         won = bids.groupBy("b").agg(F.max(F.struct("raise", "a")).alias("t")).select("b", F.col("t.a").alias("a"), F.col("t.raise").alias("raise"))
         won = materialize(won)
