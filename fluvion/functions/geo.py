@@ -37,3 +37,21 @@ def symmetric_relative_error(a: Column, b: Column) -> Column:
     """|a-b| over the larger magnitude; 0 where both are 0, null where either is missing."""
     top = F.greatest(F.abs(a), F.abs(b))
     return F.when(top == 0, F.lit(0.0)).otherwise(F.abs(a - b) / top)
+
+
+def segment_distance_m(lat, lon, lat1, lon1, lat2, lon2, radius: float = EARTH_RADIUS_M) -> Column:
+    """Distance in metres from a point to a short segment, on the plane that touches the sphere at the point."""
+    k = F.cos(F.radians(_num(lat)))
+    flat = lambda la, lo: (F.radians(_num(lo) - _num(lon)) * k * radius, F.radians(_num(la) - _num(lat)) * radius)
+    (x1, y1), (x2, y2) = flat(lat1, lon1), flat(lat2, lon2)
+    dx, dy = x2 - x1, y2 - y1
+    along = F.coalesce(-(x1 * dx + y1 * dy) / F.nullif(dx * dx + dy * dy, F.lit(0.0)), F.lit(0.0))
+    t = F.least(F.lit(1.0), F.greatest(F.lit(0.0), along))
+    return F.sqrt(F.pow(x1 + t * dx, F.lit(2.0)) + F.pow(y1 + t * dy, F.lit(2.0)))
+
+
+def polyline_distance_m(lat: Column, lon: Column, line: Column, radius: float = EARTH_RADIUS_M) -> Column:
+    """Distance in metres from a point to a line, an array of struct<lat, lon>; to the point itself for a line of one, null for none."""
+    n = F.size(line)
+    parts = F.transform(F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1))), lambda i: segment_distance_m(lat, lon, F.get(line, i - 1)["lat"], F.get(line, i - 1)["lon"], F.coalesce(F.get(line, i), F.get(line, i - 1))["lat"], F.coalesce(F.get(line, i), F.get(line, i - 1))["lon"], radius))
+    return F.when(n > 0, F.array_min(parts))

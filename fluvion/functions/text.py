@@ -58,3 +58,35 @@ def cluster_number(uid: Column, number: Column | None = None, prefix: str = "SED
         return from_uid
     ok = number.isNotNull() & (number >= 0)
     return F.coalesce(F.when(ok, number.cast("bigint")), from_uid)
+
+
+def strip_marks(c: Column) -> Column:
+    """Text without accents by Unicode decomposition (NFKD) and case folding, in Arrow batches; null stays null.
+
+    :func:`fold_accents` does the same for common letters without leaving the JVM; this is for all of Unicode.
+    """
+    import unicodedata
+
+    import pandas as pd
+
+    def plain(t: str) -> str:
+        return "".join(x for x in unicodedata.normalize("NFKD", t.casefold()) if not unicodedata.combining(x))
+
+    def work(s):
+        return s.map(plain, na_action="ignore")
+
+    work.__annotations__ = {"s": pd.Series, "return": pd.Series}
+    return F.pandas_udf(work, "string")(c)
+
+
+def sequence_ratio(a: Column, b: Column) -> Column:
+    """Ratio 0..1 of matching blocks of two texts (longest first), in Arrow batches; null where one is null, 1 for two empty texts."""
+    from difflib import SequenceMatcher
+
+    import pandas as pd
+
+    def work(x, y):
+        return pd.Series([None if p is None or q is None else SequenceMatcher(None, p, q, autojunk=False).ratio() for p, q in zip(x, y)], dtype="float64")
+
+    work.__annotations__ = {"x": pd.Series, "y": pd.Series, "return": pd.Series}
+    return F.pandas_udf(work, "double")(a, b)

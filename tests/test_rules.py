@@ -95,3 +95,48 @@ def test_checks(spark):
     assert got == {"v": ("fail", 1), "k": ("fail", 1), "self": ("pass", 0)}
     with pytest.raises(ValueError):
         checks.require(checks.unique(df, "k", "k"))
+
+
+def test_distances_to_lines(spark):
+    from fluvion.functions.geo import polyline_distance_m, segment_distance_m
+
+    r = 6371008.8
+    df = spark.createDataFrame([([(0.0, 1.0), (0.0, 3.0)],), ([(0.0, 1.0)],), ([],), (None,)], "line array<struct<lat: double, lon: double>>")
+    got = [x[0] for x in df.select(polyline_distance_m(F.lit(0.01), F.lit(2.0), F.col("line"))).collect()]
+    import math
+
+    assert got[0] == pytest.approx(math.radians(0.01) * r, rel=1e-6) and got[1] == pytest.approx(math.hypot(math.radians(1) * r, math.radians(0.01) * r), rel=1e-3) and got[2:] == [None, None]
+    one = spark.range(1).select(segment_distance_m(0.0, 0.0, 0.0, 1.0, 0.0, 2.0).alias("d"), segment_distance_m(0.0, 0.0, 0.0, 1.0, 0.0, 1.0).alias("e")).first()
+    assert one["d"] == pytest.approx(math.radians(1) * r) and one["e"] == pytest.approx(math.radians(1) * r)
+
+
+def test_text_similarity_and_decomposition(spark):
+    from fluvion.functions.text import sequence_ratio, strip_marks
+
+    df = spark.createDataFrame([("Östjö", "ostjo"), (None, "x"), ("", "")], "a string, b string")
+    rows = df.select(strip_marks(F.col("a")).alias("m"), sequence_ratio(F.col("a"), F.col("b")).alias("r")).collect()
+    assert [x["m"] for x in rows] == ["ostjo", None, ""] and rows[1]["r"] is None and rows[2]["r"] == 1.0
+
+
+def test_shared_folder_must_be_named_on_a_cluster(spark, monkeypatch):
+    from fluvion import session
+
+    assert session.shared_dir(spark)
+
+    class Conf:
+        def get(self, *_):
+            return None
+
+    class Cluster:
+        conf = Conf()
+
+        class sparkContext:
+            master = "yarn"
+
+            @staticmethod
+            def getConf():
+                return Conf()
+
+    monkeypatch.delattr(session.shared_dir, "own", raising=False)
+    with pytest.raises(ValueError):
+        session.shared_dir(Cluster())
