@@ -212,7 +212,8 @@ def flag_readings(seg: np.ndarray, day: np.ndarray, values: dict[str, np.ndarray
 
 
 def _segment_low(v: np.ndarray, s: np.ndarray, n: int) -> np.ndarray:
-    """Half the 2 % quantile of each segment's positive values: where a zero is put on the log scale."""
+    """Where a zero is put on the log scale of each segment: a twentieth of the 2 % quantile of its positive values, so that
+    spikes downwards keep a decade of room."""
     ok = v > 0
     order = np.lexsort((v[ok], s[ok]))
     w, t = v[ok][order], s[ok][order]
@@ -221,7 +222,6 @@ def _segment_low(v: np.ndarray, s: np.ndarray, n: int) -> np.ndarray:
     out = np.full(n, 1e-6)
     has = counts > 0
     out[has] = w[start[has] + (counts[has] * 2) // 100] / 2
-    # no value may be lifted by more than the floor is there for: spikes downwards keep a full decade of room
     return np.maximum(out / 10, 1e-12)
 
 

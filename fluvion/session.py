@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -55,17 +56,18 @@ def materialize(df: DataFrame, drop: list[str] | None = None) -> DataFrame:
         _remove(spark, p)
     out = spark.read.schema(df.schema).parquet(path)
     out.fluvion_path = path
-    app = spark.sparkContext.applicationId
-    atexit.register(lambda: _quiet_remove(spark, path, app))
+    atexit.register(_forget, spark, path)
     return out
 
 
-def _quiet_remove(spark: SparkSession, path: str, app: str) -> None:
+def _forget(spark: SparkSession, path: str) -> None:
+    """Delete a table when the program ends: through the session if it is still there, else as a file of this machine."""
     try:
-        if spark.sparkContext._jsc is not None and spark.sparkContext.applicationId == app:
-            _remove(spark, path)
+        if spark.sparkContext._jsc is not None:
+            return _remove(spark, path)
     except Exception:  # noqa: BLE001 - the session may be gone already
         pass
+    shutil.rmtree(path.removeprefix("file://"), ignore_errors=True)
 
 
 def fits_broadcast(df: DataFrame, max_rows: int = 20_000) -> bool:
