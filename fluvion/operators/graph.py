@@ -105,7 +105,7 @@ def complete_linkage(df: DataFrame, station: str, basin: str, status: str, lat:
     most = F.max(wide).over(W.partitionBy("b", "g1"))
     m = m.withColumn("most", most).withColumn("g2", F.sum(F.when(F.col("lo") - F.lag("lo").over(w2) > F.col("most"), 1).otherwise(0)).over(w2)).drop("most")
     # most patches hold one station: those are answered here and never travel to Python
-    m = m.dropDuplicates(["s"]).withColumn("n", F.count("*").over(W.partitionBy("b", "g1", "g2")))
+    m = m.withColumn("n", F.count("*").over(W.partitionBy("b", "g1", "g2")))
     lone = m.filter("n = 1").select(F.col("s").alias(station), F.col("s").alias("cluster"))
     m = m.filter("n > 1").drop("n")
     kind_s = df.schema[station].dataType.simpleString()

@@ -16,6 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -281,7 +282,7 @@ def implausible_readings(df: DataFrame, record_id: str, series: str, date: str,
             last_series = s[k].as_py()
             back = len(c) - 1 - np.argmax(c[::-1] != c[k]) if (c != c[k]).any() else -1
             tail = s.slice(max(back + 1, 0)).combine_chunks()
-            differ = pa.compute.not_equal(tail, last_series).to_numpy(zero_copy_only=False)
+            differ = pc.not_equal(tail, last_series).to_numpy(zero_copy_only=False)
             cut = max(back + 1, 0) + (np.flatnonzero(differ)[-1] + 1 if differ.any() else 0)
             if cut > 0:
                 yield work(t.slice(0, cut).combine_chunks())
@@ -290,6 +291,4 @@ def implausible_readings(df: DataFrame, record_id: str, series: str, date: str,
         if held and rows:
             yield work(pa.Table.from_batches(held).combine_chunks())
 
-    import pyarrow.compute  # noqa: F401 - makes pa.compute available on the workers
-
     return x.mapInArrow(run, f"id {rid_type}, variable string, reason string").withColumnRenamed("id", record_id)
