@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from fluvion.functions.geo import haversine_m, wrap_lon
+from fluvion.functions.geo import haversine_m, valid_position, wrap_lon
 from fluvion.operators.pairing import nearest_by_day, ranked_with_gap
 from fluvion.operators.spatial import within_distance
 from fluvion.plans.common import CATALOG, OBS, PAIRED, STATIONS, catalog, observations, paired, stations
@@ -109,6 +109,17 @@ def overlap_groups(spark: S, sf: str) -> DataFrame:
     return g.filter("n_series > 1")
 
 
+def _one_position(lat: str, lon: str) -> Column:
+    """The smallest position of a group: latitude and longitude of one row, whichever convention it is written in."""
+    return F.min(F.struct(F.col(lat).alias("lat"), wrap_lon(F.col(lon)).alias("lon")))
+
+
+def _cluster_positions(spark: S, sf: str, *more: Column) -> DataFrame:
+    """One position of each cluster that has one, with further aggregates of the rows that have positions."""
+    c = catalog(spark, sf).filter("lat is not null").groupBy("cluster_uid").agg(_one_position("lat", "lon").alias("p"), *more)
+    return c.select("cluster_uid", "p.lat", "p.lon", *[n for n in c.columns if n not in ("cluster_uid", "p")])
+
+
 _D = "2 * 6371008.8 * asin(sqrt(least(1.0, pow(sin(radians({1}.lat - {0}.lat) / 2), 2) + cos(radians({0}.lat)) * cos(radians({1}.lat)) * pow(sin(radians({1}.lon - {0}.lon) / 2), 2))))"
 
 
@@ -125,7 +136,7 @@ def distance_join(spark: S, sf: str) -> DataFrame:
 def nearest_reach(spark: S, sf: str) -> DataFrame:
     """The nearest cluster of each station, within 8 km."""
     s = stations(spark, sf).filter("lat is not null").select("station_id", F.col("lat").alias("slat"), F.col("lon").alias("slon"))
-    c = catalog(spark, sf).filter("lat is not null and abs(lon) < 179").groupBy("cluster_uid").agg(F.min("lat").alias("lat"), F.min("lon").alias("lon"))
+    c = _cluster_positions(spark, sf)
     j = within_distance(s, "slat", "slon", c, "lat", "lon", 8000.0).withColumn("d", haversine_m(F.col("slat"), F.col("slon"), F.col("lat"), F.col("lon")))
     return j.groupBy("station_id").agg(F.min(F.struct("d", "cluster_uid")).alias("m")).select("station_id", "m.cluster_uid", F.round("m.d", 2).alias("distance_m"))
 
@@ -190,9 +201,10 @@ r as (select *, row_number() over (partition by satellite_station_id order by ro
 select satellite_station_id, cluster_uid, round(d, 3) as distance_m, case when d > 1000 then 'distance_too_far' when e > 0.10 then 'area_mismatch' when d2 - round(d, 3) <= 100 and abs(coalesce(e2, 0) - coalesce(e, 0)) <= 0.01 then 'ambiguous' else 'linked' end as decision from r where k = 1""")
 def satellite_link(spark: S, sf: str) -> DataFrame:
     """The cluster of each satellite station: the nearest, if near, alike in area and not tied with the next."""
-    c = catalog(spark, sf).filter("lat is not null and abs(lon) < 179").groupBy("cluster_uid").agg(F.min("basin_area").alias("area_c"), F.min("lat").alias("lat"), F.min("lon").alias("lon"))
-    s = table(spark, sf, "satellite_links", "satellite_station_id", "satellite_uparea_merit", "satellite_lat", "satellite_lon").filter("satellite_lat between -90 and 90 and satellite_lon between -179 and 179 and not isnan(satellite_lat) and not isnan(satellite_lon)")
-    s = s.groupBy("satellite_station_id").agg(F.min("satellite_uparea_merit").alias("area"), F.min("satellite_lat").alias("slat"), F.min("satellite_lon").alias("slon"))
+    c = _cluster_positions(spark, sf, F.min("basin_area").alias("area_c"))
+    s = table(spark, sf, "satellite_links", "satellite_station_id", "satellite_uparea_merit", "satellite_lat", "satellite_lon").filter(valid_position(F.col("satellite_lat"), F.col("satellite_lon")))
+    s = s.groupBy("satellite_station_id").agg(F.min("satellite_uparea_merit").alias("area"), _one_position("satellite_lat", "satellite_lon").alias("p"))
+    s = s.select("satellite_station_id", "area", F.col("p.lat").alias("slat"), F.col("p.lon").alias("slon"))
     j = within_distance(s, "slat", "slon", c, "lat", "lon", 5000.0)
     j = j.withColumn("d0", haversine_m(F.col("slat"), F.col("slon"), F.col("lat"), F.col("lon"))).withColumn("d", F.round("d0", 3)).withColumn("e", F.abs(F.col("area") - F.col("area_c")) / F.greatest("area", "area_c"))
     w = W.partitionBy("satellite_station_id").orderBy("d", F.col("e").asc_nulls_last(), "cluster_uid")
@@ -207,7 +219,7 @@ r as (select *, row_number() over (partition by station_id order by d, cluster_u
 select station_id, cluster_uid, d as distance_m, case when n = 1 then 'unique' when d2 - d >= 100 or d2 >= 1.5 * greatest(d, 1e-9) then 'clear' else 'ambiguous' end as decision from r where k = 1""")
 def match_select_ambiguity(spark: S, sf: str) -> DataFrame:
     s = stations(spark, sf).filter("lat is not null").select("station_id", F.col("lat").alias("slat"), F.col("lon").alias("slon"))
-    c = catalog(spark, sf).filter("lat is not null and abs(lon) < 179").groupBy("cluster_uid").agg(F.min("lat").alias("lat"), F.min("lon").alias("lon"))
+    c = _cluster_positions(spark, sf)
     j = within_distance(s, "slat", "slon", c, "lat", "lon", 5000.0).withColumn("distance_m", F.round(haversine_m(F.col("slat"), F.col("slon"), F.col("lat"), F.col("lon")), 3))
     r = ranked_with_gap(j, "station_id", "distance_m", [F.col("distance_m"), F.col("cluster_uid")], 100.0, 1.5)
     return r.filter("rank = 1").select("station_id", "cluster_uid", "distance_m", "decision")
