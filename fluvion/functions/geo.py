@@ -40,10 +40,13 @@ def symmetric_relative_error(a: Column, b: Column) -> Column:
 
 
 def segment_distance_m(lat, lon, lat1, lon1, lat2, lon2, radius: float = EARTH_RADIUS_M) -> Column:
-    """Distance in metres from a point to a short segment, on the plane that touches the sphere at the point."""
+    """Distance in metres from a point to a short segment, on the plane that touches the sphere at the point; longitudes of either convention."""
     k = F.cos(F.radians(_num(lat)))
-    flat = lambda la, lo: (F.radians(_num(lo) - _num(lon)) * k * radius, F.radians(_num(la) - _num(lat)) * radius)
-    (x1, y1), (x2, y2) = flat(lat1, lon1), flat(lat2, lon2)
+    turn = lambda lo, to: (d := _num(to) - _num(lo)) - 360.0 * F.rint(d / 360.0)
+    east, north = lambda d: F.radians(d) * k * radius, lambda la: F.radians(_num(la) - _num(lat)) * radius
+    # the second end by its difference from the first, so that the segment stays short where the point is far from it
+    x1, y1 = east(turn(lon, lon1)), north(lat1)
+    x2, y2 = east(turn(lon, lon1) + turn(lon1, lon2)), north(lat2)
     dx, dy = x2 - x1, y2 - y1
     along = F.coalesce(-(x1 * dx + y1 * dy) / F.nullif(dx * dx + dy * dy, F.lit(0.0)), F.lit(0.0))
     t = F.least(F.lit(1.0), F.greatest(F.lit(0.0), along))

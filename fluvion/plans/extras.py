@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fluvion.functions.geo import polyline_distance_m, segment_distance_m
+from fluvion.functions.geo import polyline_distance_m, segment_distance_m, valid_position, wrap_lon
 from fluvion.functions.text import sequence_ratio, strip_marks
 from fluvion.operators.merge import best_rows_per_day
 from fluvion.operators.ordering import hash_sample
@@ -19,13 +19,21 @@ _POS = "{0}_lat between -80 and 80 and {0}_lon between -179 and 179 and not isna
 _R = "6371008.8"
 
 
+def _linked_positions(spark: S, sf: str) -> DataFrame:
+    """Satellite stations and the positions linked to them, each once, where both are usable; longitudes in [-180, 180)."""
+    l = table(spark, sf, "satellite_links", "satellite_station_id", "satellite_lat", "satellite_lon", "linked_lat", "linked_lon")
+    for side in ("satellite", "linked"):
+        l = l.filter(valid_position(F.col(f"{side}_lat"), F.col(f"{side}_lon"))).withColumn(f"{side}_lon", wrap_lon(F.col(f"{side}_lon")))
+    return l.distinct()
+
+
 @query(f"""with l as (select distinct satellite_station_id s, satellite_lat a, satellite_lon o, linked_lat a1, linked_lon o1 from satellite_links where {_POS.format('satellite')} and {_POS.format('linked')}),
 p as (select *, radians(o1 - o) * cos(radians(a)) * {_R} x1, radians(a1 - a) * {_R} y1, radians(o1 + 0.01 - o) * cos(radians(a)) * {_R} x2, radians(a1 + 0.01 - a) * {_R} y2 from l),
 t as (select *, least(1.0, greatest(0.0, -(x1 * (x2 - x1) + y1 * (y2 - y1)) / (pow(x2 - x1, 2) + pow(y2 - y1, 2)))) t from p)
 select s as satellite_station_id, a1 as linked_lat, o1 as linked_lon, round(sqrt(pow(x1 + t * (x2 - x1), 2) + pow(y1 + t * (y2 - y1), 2)), 3) as distance_m from t""")
 def point_line_distance(spark: S, sf: str) -> DataFrame:
     """Distance of each satellite position to a reach that begins at the linked one."""
-    l = table(spark, sf, "satellite_links", "satellite_station_id", "satellite_lat", "satellite_lon", "linked_lat", "linked_lon").filter(_POS.format("satellite") + " and " + _POS.format("linked")).distinct()
+    l = _linked_positions(spark, sf)
     c = F.col
     d = segment_distance_m(c("satellite_lat"), c("satellite_lon"), c("linked_lat"), c("linked_lon"), c("linked_lat") + 0.01, c("linked_lon") + 0.01)
     return l.select("satellite_station_id", "linked_lat", "linked_lon", F.round(d, 3).alias("distance_m"))
@@ -34,7 +42,7 @@ def point_line_distance(spark: S, sf: str) -> DataFrame:
 @query(None)
 def polyline_distance(spark: S, sf: str) -> DataFrame:
     """The same for a line of three points (held against a plain version in the tests)."""
-    l = table(spark, sf, "satellite_links", "satellite_station_id", "satellite_lat", "satellite_lon", "linked_lat", "linked_lon").filter(_POS.format("satellite") + " and " + _POS.format("linked")).distinct()
+    l = _linked_positions(spark, sf)
     at = lambda k: F.struct((F.col("linked_lat") + 0.01 * k).alias("lat"), (F.col("linked_lon") + 0.02 * k * k).alias("lon"))
     return l.select("satellite_station_id", F.round(polyline_distance_m(F.col("satellite_lat"), F.col("satellite_lon"), F.array(at(0), at(1), at(2))), 3).alias("distance_m"))
 

@@ -2,7 +2,7 @@
 
 import pytest
 
-from fluvion.plans import joins
+from fluvion.plans import extras, joins
 
 LINKS = "satellite_station_id long, satellite_uparea_merit double, satellite_lat double, satellite_lon double, linked_lat double, linked_lon double"
 
@@ -31,3 +31,12 @@ def test_clusters_near_the_antimeridian_are_found(spark, data, tmp_path, name):
     s.limit(0).unionByName(own, allowMissingColumns=True).select(s.columns).write.parquet(f"{tmp_path}/source_stations.parquet")
     got = {r["station_id"]: (r["cluster_uid"], r["distance_m"]) for r in getattr(joins, name)(spark, str(tmp_path)).collect()}
     assert got == {1: ("SED000001", pytest.approx(219.0, abs=0.1)), 2: ("SED000002", 0.0)}
+
+
+@pytest.mark.parametrize("name", ["point_line_distance", "polyline_distance"])
+def test_distances_to_lines_in_both_conventions(spark, tmp_path, name):
+    # each pair is that of station 1, moved around the globe or written in the other convention; 7 and 8 have no usable position
+    rows = [(1, 0.0, 10.0, 50.0, 10.01, 50.0), (2, 0.0, 10.0, 300.0, 10.01, -60.0), (3, 0.0, 10.0, 310.0, 10.01, 310.0), (4, 0.0, 10.0, 179.999, 10.01, -180.001 + 360), (5, 0.0, 10.0, -179.995, 10.01, 180.005), (6, 0.0, 85.0, 10.0, 85.01, 10.0), (7, 0.0, 91.0, 10.0, 10.0, 10.0), (8, 0.0, 10.0, 10.0, None, 10.0)]
+    spark.createDataFrame(rows, LINKS).write.parquet(f"{tmp_path}/satellite_links.parquet")
+    got = {r["satellite_station_id"]: r["distance_m"] for r in getattr(extras, name)(spark, str(tmp_path)).collect()}
+    assert got == {k: pytest.approx(1111.951, abs=0.01) for k in range(1, 7)}
