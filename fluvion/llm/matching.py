@@ -194,6 +194,27 @@ def _windows(records: DataFrame, window: int, least: float) -> DataFrame:
     return pairs.groupBy("kind", "a", "b").agg(F.max("confidence").alias("confidence"))
 
 
+def _alikes(records: DataFrame) -> DataFrame:
+    """Each id with the first of the ids whose rows have the same fields: id, first_id."""
+    fields = F.to_json(F.sort_array(F.collect_set(F.struct("own", "qual", "rv", "own2", "qual2", "rv2", "la", "lo", "area"))))
+    ids = records.groupBy("id").agg(F.sha2(fields, 256).alias("_f"))  # an id has few rows
+    return ids.join(ids.groupBy("_f").agg(F.min("id").alias("first_id")), "_f").select("id", "first_id")
+
+
+def _compared(pairs: DataFrame, first: DataFrame, second: DataFrame, least: float) -> DataFrame:
+    """The pairs (a, b) that are alike by any of the rows of their two ids, with that confidence."""
+
+    @F.pandas_udf("double")
+    def conf(own_a: pd.Series, q_a: pd.Series, rv_a: pd.Series, la_a: pd.Series, lo_a: pd.Series, ar_a: pd.Series, own_b: pd.Series, q_b: pd.Series, rv_b: pd.Series, la_b: pd.Series, lo_b: pd.Series, ar_b: pd.Series, turned: pd.Series) -> pd.Series:
+        return pd.Series([confidence(*r) for r in zip(own_a, q_a, rv_a, la_a, lo_a, ar_a, own_b, q_b, rv_b, la_b, lo_b, ar_b, turned)], dtype=float)
+
+    parts = ("own", "qual", "rv", "la", "lo", "area")
+    x = first.select(F.col("id").alias("a"), *[F.col(c).alias(f"{c}_a") for c in parts], "turned")
+    y = second.select(F.col("id").alias("b"), *[F.col(c).alias(f"{c}_b") for c in parts])
+    j = pairs.join(x, "a").join(y, "b").withColumn("confidence", conf(*[f"{c}_a" for c in parts], *[f"{c}_b" for c in parts], "turned"))
+    return j.filter(F.col("confidence") >= least).groupBy("a", "b").agg(F.max("confidence").alias("confidence"))
+
+
 def _best_total(edges: list[tuple[str, str, float]]) -> list[tuple[str, str, float]]:
     """One-to-one choice of edges with the largest sum of weights (exact: longest augmenting paths)."""
     out: dict[str, dict[str, float]] = {}
@@ -293,12 +314,16 @@ def match_sites(first: DataFrame, second: DataFrame, window: int = WINDOW, least
     several ways. Null, blank and missing-word fields take no part in a comparison; a record without name and
     without position has no match. Records of ``first`` that are one site among themselves are assigned together, and such
     sites and the entities are assigned one to one with the largest total confidence; a record that this leaves
-    without entity, though like one, is a further record of that entity. Each record has at most one. Repeated
+    without entity, though like one, is a further record of that entity. Every member of a site is compared with the
+    site's entity, also where no window brought the two together. Each record has at most one. Repeated
     rows count once. Empty inputs give no rows.
     """
     need = ("id", "name", "river", "lat", "lon", "area")  # other columns take no part, whatever their names
     first, second = first.select(*need).filter("id is not null"), second.select(*need).filter("id is not null")
-    a = placed(normalised(first, "name", "river"), "lat", "lon").withColumn("side", F.lit(0))
+    a = materialize(placed(normalised(first, "name", "river"), "lat", "lon").drop("name", "river", "lat", "lon"))
+    # records of equal fields are one record to the windows, which they would fill otherwise
+    alikes = materialize(_alikes(a))
+    a = a.join(alikes.filter("id = first_id").select("id"), "id", "left_semi").withColumn("side", F.lit(0))
     plain = a.select("side", "id", "own", "qual", "rv", "la", "lo", "area", F.lit(False).alias("turned"))
     # the same record with name and river exchanged
     other = a.filter("own2 <> ''").select("side", "id", F.col("own2").alias("own"), F.col("qual2").alias("qual"), F.col("rv2").alias("rv"), "la", "lo", "area", F.lit(True).alias("turned"))
@@ -312,15 +337,26 @@ def match_sites(first: DataFrame, second: DataFrame, window: int = WINDOW, least
     some = names.filter("own <> ''").select("id").distinct()
     names = names.filter("own <> ''").unionByName(names.filter("own = ''").join(some, "id", "left_anti"))
     b = names.join(whole, "id").select(F.lit(1).alias("side"), "id", "own", "qual", "rv", F.col("p.la").alias("la"), F.col("p.lo").alias("lo"), "area", F.lit(False).alias("turned"))
-    pairs = materialize(_windows(plain.unionByName(other).unionByName(flipped).unionByName(b), window, least))
+    variants = plain.unionByName(other).unionByName(flipped)
+    records = materialize(variants.unionByName(b))
+    variants, b = records.filter("side = 0"), records.filter("side = 1")
+    pairs = materialize(_windows(records, window, least))
     across = pairs.filter("kind = 0").select("a", "b", F.col("confidence").alias("w"))
     within = pairs.filter("kind = 1 and confidence >= 0.75")
     sites = connected_components(within, "a", "b").select(F.col("vertex").alias("a"), F.col("component").alias("site"))
     across = materialize(across.join(sites, "a", "left").withColumn("site", F.coalesce("site", "a")))
     chosen = materialize(assign(across.groupBy(F.col("site").alias("a"), "b").agg(F.max("w").alias("w"))))
-    # each member of a site that is itself like the site's entity
-    own = across.groupBy("a", "site", "b").agg(F.max("w").alias("confidence"))
-    linked = own.join(chosen.select(F.col("a").alias("site"), "b"), ["site", "b"]).select("a", "b", "confidence")
-    # what the assignment leaves out is a further record of the entity it is most like
-    left = own.join(linked.select("a"), "a", "left_anti").groupBy("a").agg(F.max(F.struct("confidence", "b")).alias("m"))
-    return linked.unionByName(left.select("a", "m.b", "m.confidence"))
+    own = materialize(across.groupBy("a", "site", "b").agg(F.max("w").alias("confidence")))
+    entity = chosen.select(F.col("a").alias("site"), "b")
+    met = own.join(entity, ["site", "b"]).select("a", "b", "confidence")
+    # the other members of a site need not have met its entity in a window: each is compared with it
+    members = sites.unionByName(own.select("a", "site")).distinct().join(met.select("a"), "a", "left_anti")
+    linked = materialize(met.unionByName(_compared(members.join(entity, "site").select("a", "b"), variants, b, least)))
+    # what the assignment leaves out is a further record of the entity it is most like, among those it met and the one its site is most like
+    best = own.groupBy("site").agg(F.max(F.struct("confidence", "b")).alias("m")).select("site", "m.b")
+    rest = members.join(linked.select("a"), "a", "left_anti")
+    seen = own.select("a", "b", "confidence").join(rest.select("a"), "a", "left_semi")
+    left = seen.unionByName(_compared(rest.join(best, "site").select("a", "b").join(seen.select("a", "b"), ["a", "b"], "left_anti"), variants, b, least))
+    left = left.groupBy("a").agg(F.max(F.struct("confidence", "b")).alias("m"))
+    out = linked.unionByName(left.select("a", "m.b", "m.confidence"))
+    return out.withColumnRenamed("a", "first_id").join(alikes, "first_id").select(F.col("id").alias("a"), "b", "confidence")

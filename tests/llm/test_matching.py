@@ -78,3 +78,11 @@ def test_auction_comes_near_the_best(spark):
     for limit in (100, 1):
         got = M.assign(df, in_one_task=limit).collect()
         assert {(r["a"], r["b"]) for r in got} == {("a1", "b2"), ("a2", "b1"), ("a3", "b3")}
+
+
+def test_members_of_a_crowded_site_are_linked_without_meeting_its_entity(spark):
+    b = [("s", "Gelmivu Weir", "Lorisor", 42.5, -92.8)]
+    crowd = [(f"m{i:03}", "Gelmivu Weir", "Lorisor", 42.5 + i * 1e-4, -92.8) for i in range(60)]
+    equal = [(f"e{i:03}", "Gelmivu Weir", "Lorisor", 42.5005, -92.8) for i in range(60)]
+    bare = [(f"n{i:03}", "Gelmivu Weir", "Lorisor", None, None) for i in range(60)]
+    assert run(spark, crowd + equal + bare, b, window=3) == {r[0]: "s" for r in crowd + equal + bare}
