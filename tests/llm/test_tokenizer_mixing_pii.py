@@ -148,3 +148,12 @@ def test_tables(spark):
     masked = {r["doc_id"]: r["text"] for r in pii.mask_pii(df).collect()}
     assert masked[1] == "😀 Observer: [NAME]." and masked[2] is None and masked[3] == "" and masked[4].endswith("Observer: [NAME].")
     assert pii.find_pii(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("address", ["Mühlweg 3", "Hauptstr. 7", "Rosenhof 12", "Lindenallee 4", "中山路12号", "长安街5号", "人民大道8号", "柳巷3号", "烟袋胡同9号", "12 Mill Street", "5 rue de la Paix", "Calle Mayor 8", "Am Markt 2"])
+def test_an_address_is_found_alone_in_a_text(address):
+    assert pii.find(address) == [("address", 0, len(address))]
+
+
+def test_an_iban_is_found_alone_in_a_text():
+    assert pii.find("IBAN DE89 3704 0044 0532 0130 00") == [("id_number", 5, 32)]
