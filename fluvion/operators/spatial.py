@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fluvion.functions.geo import EARTH_RADIUS_M, haversine_m, valid_position, wrap_lon
+from fluvion.session import materialize
 
 SPLIT = 4  # children of a cell in either direction
 SLACK_M = 1e-3  # how far from the edge a cell must lie to count as inside or outside
@@ -133,6 +134,30 @@ def within_distance(points: DataFrame, point_lat: str, point_lon: str, centres:
     return near.select(*[F.col(f"_p.`{c}`") for c in points.columns], *theirs)
 
 
+def best_near(points: DataFrame, point_lat: str, point_lon: str, candidates: DataFrame, lat: str, lon: str, point_id: str, candidate_id: str, distance_m: float, penalty: Column | None = None, radius: float = EARTH_RADIUS_M) -> DataFrame:
+    """Of each point the candidate within ``distance_m`` of least penalty + distance / ``distance_m`` (to nine digits; ties: smallest id).
+
+    Columns of both inputs plus distance_m, penalty and score. ``penalty`` (0 or more, over the columns of both; none
+    means the nearest) may be anything, so the search goes outwards: what lies farther than score * distance_m cannot
+    win, and a point whose best is that near is settled without the wider circles. Points without candidate give no row.
+    Repeated points and candidates count once.
+    """
+    todo, done = points.dropDuplicates([point_id]), None
+    cand = candidates.dropDuplicates([candidate_id])
+    at = distance_m / 64
+    while True:
+        at = min(at * 8, distance_m)
+        j = within_distance(todo, point_lat, point_lon, cand, lat, lon, at, radius)
+        j = j.withColumn("distance_m", haversine_m(F.col(point_lat), F.col(point_lon), F.col(lat), F.col(lon), radius)).withColumn("penalty", F.lit(0.0) if penalty is None else penalty)
+        j = j.withColumn("score", F.round(F.col("penalty") + F.col("distance_m") / distance_m, 9))
+        best = j.groupBy(point_id).agg(F.min_by(F.struct(*[c for c in j.columns if c != point_id]), F.struct("score", candidate_id)).alias("_b")).select(point_id, "_b.*")
+        if at >= distance_m:
+            return best if done is None else done.unionByName(best)
+        settled = materialize(best.filter(F.col("score") * distance_m <= at - SLACK_M))
+        done = settled if done is None else done.unionByName(settled)
+        todo = todo.join(settled.select(point_id), point_id, "left_anti")
+
+
 def _cover_polygon(ring: np.ndarray, height: float, rings: int, levels: int, limit: int):
     """Cells of one polygon (lat, lon vertices): (level, ring, column, inside). Planar in degrees."""
     lats, lons = ring[:, 0], ring[:, 1]

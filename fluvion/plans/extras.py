@@ -15,7 +15,9 @@ from fluvion.plans.registry import query
 from fluvion.sources.tables import table
 
 S = SparkSession
-_POS = "{0}_lat between -80 and 80 and {0}_lon between -179 and 179 and not isnan({0}_lat) and not isnan({0}_lon)"
+_POS = "{0}_lat between -90 and 90 and {0}_lon between -180 and 360 and not isnan({0}_lat) and not isnan({0}_lon)"
+_WRAP = "case when {0}_lon >= 180 then {0}_lon - 360 else {0}_lon end"
+_LINKED = f"l as (select distinct satellite_station_id s, satellite_lat a, {_WRAP.format('satellite')} o, linked_lat a1, {_WRAP.format('linked')} o1 from satellite_links where {_POS.format('satellite')} and {_POS.format('linked')}), w as (select *, (o1 - o) - 360 * round((o1 - o) / 360) turn from l)"
 _R = "6371008.8"
 
 
@@ -27,8 +29,8 @@ def _linked_positions(spark: S, sf: str) -> DataFrame:
     return l.distinct()
 
 
-@query(f"""with l as (select distinct satellite_station_id s, satellite_lat a, satellite_lon o, linked_lat a1, linked_lon o1 from satellite_links where {_POS.format('satellite')} and {_POS.format('linked')}),
-p as (select *, radians(o1 - o) * cos(radians(a)) * {_R} x1, radians(a1 - a) * {_R} y1, radians(o1 + 0.01 - o) * cos(radians(a)) * {_R} x2, radians(a1 + 0.01 - a) * {_R} y2 from l),
+@query(f"""with {_LINKED},
+p as (select *, radians(turn) * cos(radians(a)) * {_R} x1, radians(a1 - a) * {_R} y1, radians(turn + 0.01) * cos(radians(a)) * {_R} x2, radians(a1 + 0.01 - a) * {_R} y2 from w),
 t as (select *, least(1.0, greatest(0.0, -(x1 * (x2 - x1) + y1 * (y2 - y1)) / (pow(x2 - x1, 2) + pow(y2 - y1, 2)))) t from p)
 select s as satellite_station_id, a1 as linked_lat, o1 as linked_lon, round(sqrt(pow(x1 + t * (x2 - x1), 2) + pow(y1 + t * (y2 - y1), 2)), 3) as distance_m from t""")
 def point_line_distance(spark: S, sf: str) -> DataFrame:
@@ -39,9 +41,17 @@ def point_line_distance(spark: S, sf: str) -> DataFrame:
     return l.select("satellite_station_id", "linked_lat", "linked_lon", F.round(d, 3).alias("distance_m"))
 
 
-@query(None)
+def _segment_sql(k: int) -> str:
+    """Distance to the part of the line between its points k and k + 1."""
+    at = [(f"(radians(turn + {0.02 * i * i}) * cos(radians(a)) * {_R})", f"(radians(a1 + {0.01 * i} - a) * {_R})") for i in (k, k + 1)]
+    (x1, y1), (x2, y2) = at
+    t = f"least(1.0, greatest(0.0, -({x1} * ({x2} - {x1}) + {y1} * ({y2} - {y1})) / (pow({x2} - {x1}, 2) + pow({y2} - {y1}, 2))))"
+    return f"sqrt(pow({x1} + {t} * ({x2} - {x1}), 2) + pow({y1} + {t} * ({y2} - {y1}), 2))"
+
+
+@query(f"with {_LINKED} select s as satellite_station_id, round(least({_segment_sql(0)}, {_segment_sql(1)}), 3) as distance_m from w")
 def polyline_distance(spark: S, sf: str) -> DataFrame:
-    """The same for a line of three points (held against a plain version in the tests)."""
+    """The same for a line of three points."""
     l = _linked_positions(spark, sf)
     at = lambda k: F.struct((F.col("linked_lat") + 0.01 * k).alias("lat"), (F.col("linked_lon") + 0.02 * k * k).alias("lon"))
     return l.select("satellite_station_id", F.round(polyline_distance_m(F.col("satellite_lat"), F.col("satellite_lon"), F.array(at(0), at(1), at(2))), 3).alias("distance_m"))

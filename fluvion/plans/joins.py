@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from fluvion.functions.geo import haversine_m, valid_position, wrap_lon
 from fluvion.operators.pairing import nearest_by_day, ranked_with_gap
-from fluvion.operators.spatial import within_distance
+from fluvion.operators.spatial import best_near, within_distance
 from fluvion.plans.common import CATALOG, OBS, PAIRED, STATIONS, catalog, observations, paired, stations
 from fluvion.plans.registry import query
 from fluvion.sources.tables import table
@@ -120,6 +120,9 @@ def _cluster_positions(spark: S, sf: str, *more: Column) -> DataFrame:
     return c.select("cluster_uid", "p.lat", "p.lon", *[n for n in c.columns if n not in ("cluster_uid", "p")])
 
 
+_wrap = "case when {0} >= 180 then {0} - 360 else {0} end"
+# one position a cluster: latitude and longitude of one row, the smallest; joined with it what is asked for
+_CP = f"cp as (select cluster_uid, lat, {_wrap.format('lon')} lon from (select cluster_uid, lat, lon, row_number() over (partition by cluster_uid order by lat, {_wrap.format('lon')}) k from cat where lat is not null) where k = 1)"
 _D = "2 * 6371008.8 * asin(sqrt(least(1.0, pow(sin(radians({1}.lat - {0}.lat) / 2), 2) + cos(radians({0}.lat)) * cos(radians({1}.lat)) * pow(sin(radians({1}.lon - {0}.lon) / 2), 2))))"
 
 
@@ -132,13 +135,31 @@ def distance_join(spark: S, sf: str) -> DataFrame:
     return j.select("station_id", "cluster_uid", F.round(haversine_m(F.col("slat"), F.col("slon"), F.col("lat"), F.col("lon")), 2).alias("distance_m"))
 
 
-@query(f"with {STATIONS}, {CATALOG}, c as (select cluster_uid, min(lat) lat, min(lon) lon from cat where lat is not null and abs(lon) < 179 group by 1), j as (select st.station_id, cluster_uid, {_D.format('st', 'c')} d from st, c where st.lat is not null and abs(st.lat - c.lat) < 0.1 and {_D.format('st', 'c')} <= 8000) select station_id, cluster_uid, round(d, 2) as distance_m from (select *, row_number() over (partition by station_id order by d, cluster_uid) k from j) where k = 1")
+_REACH = f"""with {STATIONS}, {CATALOG}, {_CP}, c as (select cp.*, a.area from cp left join (select cluster_uid, max(basin_area) area from cat group by 1) a on a.cluster_uid = cp.cluster_uid),
+j as (select st.station_id, cluster_uid, {_D.format('st', 'c')} d, st.reported_area reported, c.area from st, c where st.lat is not null and abs(st.lat - c.lat) < 1.2 and {_D.format('st', 'c')} <= 120000),
+e as (select *, case when reported is null then 0.0 else coalesce(abs(log10(least(1000.0, greatest(0.001, area / reported)))), 3.0) end area_error from j)"""
+
+
+@query(f"""{_REACH} select station_id, cluster_uid, round(d, 2) as distance_m, round(area_error + d / 120000, 6) as score, case when reported is null then 'distance_only' when area_error < 0.1 then 'area_matched' when area_error < 0.3 then 'area_approximate' else 'area_mismatch' end as match_quality
+from (select *, row_number() over (partition by station_id order by round(area_error + d / 120000, 9), cluster_uid) k from e) where k = 1""")
 def nearest_reach(spark: S, sf: str) -> DataFrame:
-    """The nearest cluster of each station, within 8 km."""
+    """The reach of each station among those within 120 km: by distance, and by the logarithm of the ratio of areas where the
+    station reports one. A candidate without area counts as one of a thousandth of it."""
+    s = stations(spark, sf).filter("lat is not null").select("station_id", "reported_area", F.col("lat").alias("slat"), F.col("lon").alias("slon"))
+    c = _cluster_positions(spark, sf).join(catalog(spark, sf).groupBy("cluster_uid").agg(F.max("basin_area").alias("area")), "cluster_uid")
+    off = F.abs(F.log10(F.least(F.lit(1000.0), F.greatest(F.lit(0.001), F.col("area") / F.col("reported_area")))))
+    error = F.when(F.col("reported_area").isNull(), 0.0).otherwise(F.coalesce(off, F.lit(3.0)))
+    b = best_near(s, "slat", "slon", c, "lat", "lon", "station_id", "cluster_uid", 120_000.0, error)
+    quality = F.when(F.col("reported_area").isNull(), "distance_only").when(F.col("penalty") < 0.1, "area_matched").when(F.col("penalty") < 0.3, "area_approximate").otherwise("area_mismatch")
+    return b.select("station_id", "cluster_uid", F.round("distance_m", 2).alias("distance_m"), F.round("score", 6).alias("score"), quality.alias("match_quality"))
+
+
+@query(f"{_REACH} select station_id, count(*) as n_reaches, round(min(d), 2) as nearest_m, count(*) filter (d <= 5000) as n_within_5_km from e group by 1")
+def reach_candidates(spark: S, sf: str) -> DataFrame:
+    """The candidate set of each station: how many reaches lie within 120 km, and how near."""
     s = stations(spark, sf).filter("lat is not null").select("station_id", F.col("lat").alias("slat"), F.col("lon").alias("slon"))
-    c = _cluster_positions(spark, sf)
-    j = within_distance(s, "slat", "slon", c, "lat", "lon", 8000.0).withColumn("d", haversine_m(F.col("slat"), F.col("slon"), F.col("lat"), F.col("lon")))
-    return j.groupBy("station_id").agg(F.min(F.struct("d", "cluster_uid")).alias("m")).select("station_id", "m.cluster_uid", F.round("m.d", 2).alias("distance_m"))
+    j = within_distance(s, "slat", "slon", _cluster_positions(spark, sf), "lat", "lon", 120_000.0).withColumn("d", haversine_m(F.col("slat"), F.col("slon"), F.col("lat"), F.col("lon")))
+    return j.groupBy("station_id").agg(F.count("*").alias("n_reaches"), F.round(F.min("d"), 2).alias("nearest_m"), F.count_if(F.col("d") <= 5000).alias("n_within_5_km"))
 
 
 @query(f"with {STATIONS} select station_id, cast(floor((lat + 90) / 0.25) as bigint) as row_no, cast(floor(((lon + 360) % 360) / 0.25) as bigint) as col_no from st where lat is not null")
@@ -195,7 +216,9 @@ def native_equality(spark: S, sf: str) -> DataFrame:
     return paired(spark, sf).groupBy("satellite_source").agg(F.count("*").alias("n"), F.count_if(F.col("x") == F.col("y")).alias("exact"), F.count_if(F.abs(F.col("x") - F.col("y")) <= 0.05 + 0.1 * F.abs("y")).alias("near"))
 
 
-@query(f"""with {CATALOG}, c as (select cluster_uid, min(basin_area) area, min(lat) lat, min(lon) lon from cat where lat is not null and abs(lon) < 179 group by 1), s as (select satellite_station_id, min(satellite_uparea_merit) area, min(satellite_lat) lat, min(satellite_lon) lon from satellite_links where satellite_lat between -90 and 90 and satellite_lon between -179 and 179 and not isnan(satellite_lat) and not isnan(satellite_lon) group by 1),
+@query(f"""with {CATALOG}, {_CP}, c as (select cp.*, a.area from cp join (select cluster_uid, min(basin_area) area from cat where lat is not null group by 1) a on a.cluster_uid = cp.cluster_uid),
+sl as (select satellite_station_id, satellite_uparea_merit area, satellite_lat lat, {_wrap.format('satellite_lon')} lon from satellite_links where satellite_lat between -90 and 90 and satellite_lon between -180 and 360 and not isnan(satellite_lat) and not isnan(satellite_lon)),
+s as (select p.satellite_station_id, a.area, p.lat, p.lon from (select *, row_number() over (partition by satellite_station_id order by lat, lon) k from sl) p join (select satellite_station_id, min(area) area from sl group by 1) a on a.satellite_station_id = p.satellite_station_id where k = 1),
 j as (select satellite_station_id, cluster_uid, {_D.format('s', 'c')} d, abs(s.area - c.area) / greatest(s.area, c.area) e from s, c where abs(s.lat - c.lat) < 0.1 and {_D.format('s', 'c')} <= 5000),
 r as (select *, row_number() over (partition by satellite_station_id order by round(d, 3), e nulls last, cluster_uid) k, lead(round(d, 3)) over (partition by satellite_station_id order by round(d, 3), e nulls last, cluster_uid) d2, lead(e) over (partition by satellite_station_id order by round(d, 3), e nulls last, cluster_uid) e2 from j)
 select satellite_station_id, cluster_uid, round(d, 3) as distance_m, case when d > 1000 then 'distance_too_far' when e > 0.10 then 'area_mismatch' when d2 - round(d, 3) <= 100 and abs(coalesce(e2, 0) - coalesce(e, 0)) <= 0.01 then 'ambiguous' else 'linked' end as decision from r where k = 1""")
@@ -214,7 +237,7 @@ def satellite_link(spark: S, sf: str) -> DataFrame:
     return j.select("satellite_station_id", "cluster_uid", F.col("d").alias("distance_m"), why.alias("decision"))
 
 
-@query(f"""with {STATIONS}, {CATALOG}, c as (select cluster_uid, min(lat) lat, min(lon) lon from cat where lat is not null and abs(lon) < 179 group by 1), j as (select station_id, cluster_uid, round({_D.format('st', 'c')}, 3) d from st, c where st.lat is not null and abs(st.lat - c.lat) < 0.06 and {_D.format('st', 'c')} <= 5000),
+@query(f"""with {STATIONS}, {CATALOG}, {_CP}, c as (select * from cp), j as (select station_id, cluster_uid, round({_D.format('st', 'c')}, 3) d from st, c where st.lat is not null and abs(st.lat - c.lat) < 0.06 and {_D.format('st', 'c')} <= 5000),
 r as (select *, row_number() over (partition by station_id order by d, cluster_uid) k, lead(d) over (partition by station_id order by d, cluster_uid) d2, count(*) over (partition by station_id) n from j)
 select station_id, cluster_uid, d as distance_m, case when n = 1 then 'unique' when d2 - d >= 100 or d2 >= 1.5 * greatest(d, 1e-9) then 'clear' else 'ambiguous' end as decision from r where k = 1""")
 def match_select_ambiguity(spark: S, sf: str) -> DataFrame:

@@ -18,11 +18,11 @@ S = SparkSession
 # a binary river tree over the parts: reach n flows into reach n / 2
 
 
-@query("with recursive w(start, node, hops) as (select p_partkey, p_partkey, 0 from part where p_size = 50 union all select start, node // 2, hops + 1 from w where node > 1) select start, node, hops from w")
+@query("with recursive w(start, node, hops) as (select p_partkey, p_partkey, 0 from part union all select start, node // 2, hops + 1 from w where node > 1) select start, node, hops from w")
 def downstream_walk(spark: S, sf: str) -> DataFrame:
-    p = table(spark, sf, "part", "p_partkey", "p_size")
+    p = table(spark, sf, "part", "p_partkey")
     tree = p.select("p_partkey", F.floor(F.col("p_partkey") / 2).alias("down"))
-    return reach(edges_from_columns(tree, "p_partkey", ["down"]), p.filter("p_size = 50"), "p_partkey", 40)
+    return reach(edges_from_columns(tree, "p_partkey", ["down"]), p, "p_partkey", 64)
 
 
 _TREE = "e as (select p_partkey // 2 src, p_partkey dst from part where p_partkey > 1)"
