@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from fluvion.operators.quantiles import with_quantiles
+
 
 def error_metrics(x: str, y: str, digits: int = 6) -> list[Column]:
-    """Of value x against reference y: n, bias, rmse, mae, mape (over y <> 0), median absolute error, r and r2."""
+    """Of value x against reference y: n, bias, rmse, mae, mape (over y <> 0), r and r2."""
     d = F.col(x) - F.col(y)
     r = F.corr(x, y)
     made = {
@@ -15,21 +17,28 @@ def error_metrics(x: str, y: str, digits: int = 6) -> list[Column]:
         "rmse": F.sqrt(F.avg(d * d)),
         "mae": F.avg(F.abs(d)),
         "mape": F.avg(F.when(F.col(y) != 0, 100.0 * F.abs(d / F.nullif(F.col(y), F.lit(0.0))))),
-        "median_ae": F.median(F.abs(d)),
         "r": r,
         "r2": r * r,
     }
     return [F.count("*").alias("n"), *[F.round(c, digits).alias(k) for k, c in made.items()]]
 
 
+def error_metrics_by(df: DataFrame, keys: list[str], x: str, y: str, digits: int = 6) -> DataFrame:
+    """The error metrics of each group and its median absolute error, which is found without gathering the group."""
+    g = df.groupBy(*keys).agg(*error_metrics(x, y, digits))
+    return with_quantiles(g, df, keys, {"median_ae": (F.abs(F.col(x) - F.col(y)), 0.5)}, digits)
+
+
 def error_metrics_sql(x: str, y: str, digits: int = 6) -> str:
     d = f"({x} - {y})"
     made = {"bias": f"avg({d})", "rmse": f"sqrt(avg({d} * {d}))", "mae": f"avg(abs({d}))", "mape": f"avg(case when {y} <> 0 then 100.0 * abs({d} / {y}) end)", "median_ae": f"median(abs({d}))", "r": f"corr({x}, {y})", "r2": f"corr({x}, {y}) * corr({x}, {y})"}
     return "count(*) as n, " + ", ".join(f"round({v}, {digits}) as {k}" for k, v in made.items())
 
 
-def ratio_metrics(x: str, y: str) -> list[Column]:
-    """Over pairs of positive values: median ratio, median log10 ratio, shares within a factor of 2 and 10."""
+def ratio_metrics_by(df: DataFrame, keys: list[str], x: str, y: str) -> DataFrame:
+    """Of each group, over pairs of positive values: n_positive, median ratio, median log10 ratio, shares within a factor of 2 and 10."""
     ok = (F.col(x) > 0) & (F.col(y) > 0)
     q = F.when(ok, F.col(x) / F.nullif(F.col(y), F.lit(0.0)))
-    return [F.count(q).alias("n_positive"), F.round(F.median(q), 6).alias("median_ratio"), F.round(F.median(F.log10(q)), 6).alias("median_log_ratio"), F.round(F.avg(F.when(q.isNotNull(), (q.between(0.5, 2.0)).cast("double"))), 6).alias("within_2"), F.round(F.avg(F.when(q.isNotNull(), (q.between(0.1, 10.0)).cast("double"))), 6).alias("within_10")]
+    within = lambda lo, hi, name: F.round(F.avg(F.when(q.isNotNull(), q.between(lo, hi).cast("double"))), 6).alias(name)
+    g = df.groupBy(*keys).agg(F.count(q).alias("n_positive"), within(0.5, 2.0, "within_2"), within(0.1, 10.0, "within_10"))
+    return with_quantiles(g, df, keys, {"median_ratio": (q, 0.5), "median_log_ratio": (F.log10(q), 0.5)})

@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 
 from fluvion.functions.domain import percent
 from fluvion.operators.merge import best_rows_per_day, publishable, quality, ranked
-from fluvion.operators.metrics import error_metrics, error_metrics_sql, ratio_metrics
+from fluvion.operators.metrics import error_metrics_by, error_metrics_sql, ratio_metrics_by
+from fluvion.operators.ordering import average_rank
+from fluvion.operators.quantiles import exact_quantiles, with_quantiles
 from fluvion.plans.common import CATALOG, OBS, PAIRED, STATIONS, catalog, observations, paired, stations
 from fluvion.plans.registry import query
 from fluvion.sources.tables import table
@@ -121,33 +123,39 @@ def overlap_candidates(spark: S, sf: str) -> DataFrame:
 
 
 _STR = f"{PAIRED}, px as (select *, case when y < 50 then 'low' when y < 500 then 'mid' else 'high' end as bin from pr)"
-_SETS = (("overall",), ("satellite_source",), ("insitu_source",), ("bin",), ("satellite_source", "insitu_source"), ("satellite_source", "bin"), ("satellite_source", "insitu_source", "bin"))
+_STRATA = ("satellite_source", "insitu_source", "bin")
+_SETS = ((), ("satellite_source",), ("insitu_source",), ("bin",), ("satellite_source", "insitu_source"), ("satellite_source", "bin"), ("satellite_source", "insitu_source", "bin"))
+
+
+def _in_sets(p: DataFrame, sets: tuple[tuple[str, ...], ...]) -> DataFrame:
+    """Each row once for each set of strata; strata outside the set read ALL."""
+    rows = F.array(*[F.struct(*[(F.col(c) if c in s else F.lit("ALL")).alias(c) for c in _STRATA]) for s in sets])
+    return p.select(F.explode(rows).alias("_s"), "x", "y").select("_s.*", "x", "y")
 
 
 @query(f"with {_STR} select coalesce(satellite_source, 'ALL') as satellite_source, coalesce(insitu_source, 'ALL') as insitu_source, coalesce(bin, 'ALL') as bin, {error_metrics_sql('x', 'y')} from px group by grouping sets ((), (satellite_source), (insitu_source), (bin), (satellite_source, insitu_source), (satellite_source, bin), (satellite_source, insitu_source, bin))")
 def metrics_grouping_sets(spark: S, sf: str) -> DataFrame:
+    """Metrics of seven sets of strata; each row goes to its seven strata, so that medians are found like the means."""
     p = paired(spark, sf).withColumn("bin", F.when(F.col("y") < 50, "low").when(F.col("y") < 500, "mid").otherwise("high"))
-    c = {k: F.col(k) for k in ("satellite_source", "insitu_source", "bin")}
-    sets = [[], *[[c[k] for k in s] for s in _SETS[1:]]]
-    g = p.groupingSets(sets, *c.values()).agg(*error_metrics("x", "y"))
-    return g.withColumns({k: F.coalesce(k, F.lit("ALL")) for k in c})
+    return error_metrics_by(_in_sets(p, _SETS), list(_STRATA), "x", "y")
 
 
 @query(f"with {PAIRED} select satellite_source, {error_metrics_sql('x', 'y')} from pr group by 1")
 def error_metrics_by_source(spark: S, sf: str) -> DataFrame:
-    return paired(spark, sf).groupBy("satellite_source").agg(*error_metrics("x", "y"))
+    return error_metrics_by(paired(spark, sf), ["satellite_source"], "x", "y")
 
 
 @query(f"with {PAIRED} select satellite_source, count(r) as n_positive, round(median(r), 6) as median_ratio, round(median(log10(r)), 6) as median_log_ratio, round(avg(case when r is not null then cast(r between 0.5 and 2 as int) end), 6) as within_2, round(avg(case when r is not null then cast(r between 0.1 and 10 as int) end), 6) as within_10 from (select *, case when x > 0 and y > 0 then x / y end r from pr) group by 1")
 def ratio_metrics_by_source(spark: S, sf: str) -> DataFrame:
-    return paired(spark, sf).groupBy("satellite_source").agg(*ratio_metrics("x", "y"))
+    return ratio_metrics_by(paired(spark, sf), ["satellite_source"], "x", "y")
 
 
 @query(f"with {PAIRED}, e as (select satellite_source, abs(x - y) / y e, x / y r from pr where x > 0 and y > 0) select satellite_source, round(quantile_cont(e, 0.75), 6) as p75, round(quantile_cont(e, 0.9), 6) as p90, round(quantile_cont(e, 0.95), 6) as p95, round(quantile_cont(r, 0.05), 6) as r05, round(quantile_cont(r, 0.95), 6) as r95, round(pow(10, avg(abs(log10(r)))), 6) as typical_factor, round(100.0 * count(*) filter (e <= 0.2) / count(*), 6) as within_20_pct from e group by 1")
 def error_percentiles(spark: S, sf: str) -> DataFrame:
     e = paired(spark, sf).filter("x > 0 and y > 0").withColumn("e", F.abs(F.col("x") - F.col("y")) / F.col("y")).withColumn("r", F.col("x") / F.col("y"))
-    pc = lambda c, p, n: F.round(F.percentile(c, p), 6).alias(n)
-    return e.groupBy("satellite_source").agg(pc("e", 0.75, "p75"), pc("e", 0.9, "p90"), pc("e", 0.95, "p95"), pc("r", 0.05, "r05"), pc("r", 0.95, "r95"), F.round(F.pow(F.lit(10.0), F.avg(F.abs(F.log10("r")))), 6).alias("typical_factor"), F.round(100.0 * F.count_if(F.col("e") <= 0.2) / F.count("*"), 6).alias("within_20_pct"))
+    g = e.groupBy("satellite_source").agg(F.round(F.pow(F.lit(10.0), F.avg(F.abs(F.log10("r")))), 6).alias("typical_factor"), F.round(100.0 * F.count_if(F.col("e") <= 0.2) / F.count("*"), 6).alias("within_20_pct"))
+    at = {"p75": ("e", 0.75), "p90": ("e", 0.9), "p95": ("e", 0.95), "r05": ("r", 0.05), "r95": ("r", 0.95)}
+    return with_quantiles(g, e, ["satellite_source"], {n: (F.col(c), p) for n, (c, p) in at.items()})
 
 
 @query(f"with {PAIRED} select satellite_source, count(*) as n, round(sqrt(avg((x - y) * (x - y))), 6) as rmse, round(avg(x - y), 6) as bias, round(1 - sum((x - y) * (x - y)) / nullif(var_pop(y) * count(*), 0), 6) as nse from pr group by 1")
@@ -158,21 +166,30 @@ def model_efficiency(spark: S, sf: str) -> DataFrame:
 
 @query(f"with {PAIRED} select cluster_uid, count(*) as n, round(median(100 * abs(x - y) / nullif(y, 0)), 6) as mdape, round(corr(x, y), 5) as r from pr group by 1 having count(*) >= 3 and stddev_pop(x) > 0 and stddev_pop(y) > 0")
 def pair_stats(spark: S, sf: str) -> DataFrame:
-    g = paired(spark, sf).groupBy("cluster_uid").agg(F.count("*").alias("n"), F.round(F.median(100 * F.abs(F.col("x") - F.col("y")) / F.nullif(F.col("y"), F.lit(0.0))), 6).alias("mdape"), F.round(F.corr("x", "y"), 5).alias("r"), F.stddev_pop("x").alias("a"), F.stddev_pop("y").alias("b"))
-    return g.filter("n >= 3 and a > 0 and b > 0").drop("a", "b")
+    p = paired(spark, sf)
+    g = p.groupBy("cluster_uid").agg(F.count("*").alias("n"), F.round(F.corr("x", "y"), 5).alias("r"), F.stddev_pop("x").alias("a"), F.stddev_pop("y").alias("b")).filter("n >= 3 and a > 0 and b > 0").drop("a", "b")
+    return with_quantiles(g, p, ["cluster_uid"], {"mdape": (100 * F.abs(F.col("x") - F.col("y")) / F.nullif(F.col("y"), F.lit(0.0)), 0.5)})
+
+
+_PROFILE = {"p05": 0.05, "p25": 0.25, "median": 0.5, "p75": 0.75, "p95": 0.95, "p99": 0.99}
 
 
-@query(f"with {OBS} select source, count(ssc) as n, round(avg(ssc), 4) as mean, round(median(ssc), 4) as median, round(stddev_pop(ssc), 4) as sd, round(min(ssc), 4) as lo, round(max(ssc), 4) as hi, round(quantile_cont(ssc, 0.05), 4) as p05, round(quantile_cont(ssc, 0.95), 4) as p95, round(avg(case when ssc > 0 then log10(ssc) end), 4) as log_mean from obs group by 1")
+@query(f"with {OBS} select source, count(ssc) as n, cast(sum(cast(round(ssc * 1000000) as bigint)) as double) / (count(ssc) * 1000000.0) as mean, round(stddev_pop(ssc), 4) as sd, min(ssc) as lo, max(ssc) as hi, round(avg(case when ssc > 0 then log10(ssc) end), 4) as log_mean, round(median(case when ssc > 0 then log10(ssc) end), 6) as log_median, {', '.join(f'round(quantile_cont(ssc, {p}), 6) as {n}' for n, p in _PROFILE.items())} from obs group by 1")
 def numeric_profile(spark: S, sf: str) -> DataFrame:
-    r = lambda c, n, d=4: F.round(c, d).alias(n)
-    return observations(spark, sf).groupBy("source").agg(F.count("ssc").alias("n"), r(F.avg("ssc"), "mean", 4), r(F.median("ssc"), "median"), r(F.stddev_pop("ssc"), "sd", 4), r(F.min("ssc"), "lo"), r(F.max("ssc"), "hi"), r(F.percentile("ssc", 0.05), "p05"), r(F.percentile("ssc", 0.95), "p95"), r(F.avg(F.when(F.col("ssc") > 0, F.log10("ssc"))), "log_mean"))
+    """Distribution of a variable by source. The mean is of whole millionths, added exactly: no order of rows changes it."""
+    o = observations(spark, sf).select("source", "ssc")
+    log = F.when(F.col("ssc") > 0, F.log10("ssc"))
+    mean = F.sum(F.round(F.col("ssc") * 1_000_000).cast("decimal(20,0)")).cast("double") / (F.count("ssc") * 1_000_000.0)
+    g = o.groupBy("source").agg(F.count("ssc").alias("n"), mean.alias("mean"), F.round(F.stddev_pop("ssc"), 4).alias("sd"), F.min("ssc").alias("lo"), F.max("ssc").alias("hi"), F.round(F.avg(log), 4).alias("log_mean"))
+    return with_quantiles(g, o, ["source"], {n: (F.col("ssc"), p) for n, p in _PROFILE.items()} | {"log_median": (log, 0.5)})
 
 
 @query("select l_returnflag, min(l_extendedprice) as lo, round(median(l_extendedprice), 6) as median, round(quantile_cont(l_extendedprice, 0.9), 6) as p90, round(quantile_cont(l_extendedprice, 0.99), 6) as p99, max(l_extendedprice) as hi from lineitem group by 1")
 def quantile_stats(spark: S, sf: str) -> DataFrame:
     c = "l_extendedprice"
     l = table(spark, sf, "lineitem", "l_returnflag", c)
-    return l.groupBy("l_returnflag").agg(F.min(c).alias("lo"), F.round(F.median(c), 6).alias("median"), F.round(F.percentile(c, 0.9), 6).alias("p90"), F.round(F.percentile(c, 0.99), 6).alias("p99"), F.max(c).alias("hi"))
+    g = l.groupBy("l_returnflag").agg(F.min(c).alias("lo"), F.max(c).alias("hi"))
+    return with_quantiles(g, l, ["l_returnflag"], {"median": (F.col(c), 0.5), "p90": (F.col(c), 0.9), "p99": (F.col(c), 0.99)})
 
 
 @query(f"with {OBS} select source, count(*) as n, count(q) as n_q, count(ssc) as n_ssc, count(ssl) as n_ssl, count(distinct case when ssc is not null then cluster_uid end) as clusters_ssc, round(100.0 * count(ssc) / count(*), 6) as pct_ssc from obs group by 1")
@@ -272,7 +289,8 @@ def geo_canonical(spark: S, sf: str) -> DataFrame:
 def area_distribution(spark: S, sf: str) -> DataFrame:
     a = F.col("basin_area")
     c = F.when(a <= 100, "<=100").when(a <= 1000, "100-1000").when(a <= 10000, "1000-10000").otherwise(">10000")
-    return catalog(spark, sf).filter("basin_area is not null").groupBy(c.alias("class")).agg(F.count("*").alias("n"), F.round(F.median("basin_area"), 6).alias("median"))
+    x = catalog(spark, sf).filter("basin_area is not null").select(c.alias("class"), "basin_area")
+    return with_quantiles(x.groupBy("class").agg(F.count("*").alias("n")), x, ["class"], {"median": (F.col("basin_area"), 0.5)})
 
 
 @query(f"with {CATALOG} select basin_status, basin_match_quality, count(*) as n, round(100.0 * count(*) / sum(count(*)) over (), 6) as pct from cat group by 1, 2")
@@ -316,8 +334,8 @@ def climatology_match(spark: S, sf: str) -> DataFrame:
 
 @query(f"with {PAIRED}, c as (select cluster_uid, satellite_source, median(x / y) r from pr where x > 0 and y > 0 group by 1, 2) select satellite_source, count(*) as n_clusters, round(median(r), 6) as balanced_median from c group by 1")
 def cluster_balanced_median(spark: S, sf: str) -> DataFrame:
-    c = paired(spark, sf).filter("x > 0 and y > 0").groupBy("cluster_uid", "satellite_source").agg(F.median(F.col("x") / F.col("y")).alias("r"))
-    return c.groupBy("satellite_source").agg(F.count("*").alias("n_clusters"), F.round(F.median("r"), 6).alias("balanced_median"))
+    c = exact_quantiles(paired(spark, sf).filter("x > 0 and y > 0"), ["cluster_uid", "satellite_source"], {"r": (F.col("x") / F.col("y"), 0.5)})
+    return with_quantiles(c.groupBy("satellite_source").agg(F.count("*").alias("n_clusters")), c, ["satellite_source"], {"balanced_median": (F.col("r"), 0.5)})
 
 
 _PART = "pt as (select distinct station_id, lower(trim(source)) a, split_part(path, '/', 1) b from source_stations where path is not null and source is not null)"
@@ -387,14 +405,16 @@ def successive_difference(spark: S, sf: str) -> DataFrame:
 
 @query(f"with {PAIRED}, r as (select satellite_source, rank() over (partition by satellite_source order by x) + (count(*) over (partition by satellite_source, x) - 1) / 2.0 rx, rank() over (partition by satellite_source order by y) + (count(*) over (partition by satellite_source, y) - 1) / 2.0 ry from pr) select satellite_source, round(corr(rx, ry), 6) as spearman from r group by 1")
 def spearman(spark: S, sf: str) -> DataFrame:
-    avg_rank = lambda c: F.rank().over(W.partitionBy("satellite_source").orderBy(c)) + (F.count("*").over(W.partitionBy("satellite_source", c)) - 1) / 2.0
-    r = paired(spark, sf).select("satellite_source", avg_rank("x").alias("rx"), avg_rank("y").alias("ry"))
+    p = paired(spark, sf).select("satellite_source", "x", "y")
+    r = average_rank(average_rank(p, ["satellite_source"], "x", "rx"), ["satellite_source"], "y", "ry")
     return r.groupBy("satellite_source").agg(F.round(F.corr("rx", "ry"), 6).alias("spearman"))
 
 
-@query("select satellite_record_id, ingested_at from (select *, row_number() over (partition by satellite_record_id order by ingested_at desc) k from satellite_obs) where k = 1")
+@query("select satellite_record_id, satellite_time, satellite_ssc, ingested_at from (select *, row_number() over (partition by satellite_record_id order by ingested_at desc nulls last, satellite_time desc nulls last, satellite_ssc desc nulls last) k from satellite_obs) where k = 1")
 def dedup_keep_last(spark: S, sf: str) -> DataFrame:
-    return table(spark, sf, "satellite_obs", "satellite_record_id", "ingested_at").groupBy("satellite_record_id").agg(F.max("ingested_at").alias("ingested_at"))
+    """The row of each record that was loaded last (null loads first), whole."""
+    s = table(spark, sf, "satellite_obs", "satellite_record_id", "satellite_time", "satellite_ssc", "ingested_at")
+    return s.groupBy("satellite_record_id").agg(F.max(F.struct("ingested_at", "satellite_time", "satellite_ssc")).alias("l")).select("satellite_record_id", "l.*")
 
 
 @query("select source_station_id, count(*) as n from source_stations group by 1 having count(*) > 1")
@@ -443,5 +463,5 @@ def bootstrap_ci(spark: S, sf: str) -> DataFrame:
     """Bootstrap interval of the median ratio of each source, resampling clusters."""
     from fluvion.operators.resample import bootstrap_median
 
-    c = paired(spark, sf).filter("x > 0 and y > 0").groupBy("satellite_source", "cluster_uid").agg(F.median(F.col("x") / F.col("y")).alias("r"))
+    c = exact_quantiles(paired(spark, sf).filter("x > 0 and y > 0"), ["satellite_source", "cluster_uid"], {"r": (F.col("x") / F.col("y"), 0.5)})
     return bootstrap_median(c, "satellite_source", "cluster_uid", "r")

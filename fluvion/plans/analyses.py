@@ -7,7 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from fluvion.functions.domain import percent
-from fluvion.operators.metrics import error_metrics, error_metrics_sql
+from fluvion.operators.metrics import error_metrics_by, error_metrics_sql
 from fluvion.plans.common import CATALOG, OBS, PAIRED, STATIONS, catalog, observations, paired, stations
 from fluvion.plans.registry import query
 from fluvion.sources.tables import table
@@ -61,7 +61,7 @@ def review_queue(spark: S, sf: str) -> DataFrame:
 
 @query(f"with {_DAYS} select sa as source_a, sb as source_b, {error_metrics_sql('x', 'y', 4)} from op group by 1, 2")
 def source_pair_metrics(spark: S, sf: str) -> DataFrame:
-    return _overlap(spark, sf).groupBy(F.col("sa").alias("source_a"), F.col("sb").alias("source_b")).agg(*error_metrics("x", "y", 4))
+    return error_metrics_by(_overlap(spark, sf).select(F.col("sa").alias("source_a"), F.col("sb").alias("source_b"), "x", "y"), ["source_a", "source_b"], "x", "y", 4)
 
 
 @query(f"with {OBS} select cluster_uid, count(distinct source_station_uid) as n_series, count(*) as n, year(min(obs_date)) as first_year, year(max(obs_date)) as last_year from obs group by 1")
