@@ -1,9 +1,10 @@
 """Implausible readings in time series, judged against each series' own behaviour.
 
-Each series is modelled by a robust first-order autoregression of its logarithms. Large innovations are tested,
-again and again on what is left, as additive outliers (the series comes back within a few readings) or level
-shifts (it does not); only the former are flagged. Runs of one value are held against the series' own habit of
-repeating values at that level, and values beyond physical limits are flagged as they are.
+Each series is modelled by a robust first-order autoregression of its logarithms. Wherever an innovation is large, patches
+of additive outliers are tested against a level shift and against floods, by what each leaves of the residuals, with
+thresholds in innovation scales; what is found is taken out, the model is fitted again, and the tests repeat. Runs of one
+value are held against the series' own habit of repeating values at that level, and values beyond physical limits are
+flagged as they are.
 
 Readings travel in chunks of one series and one span of time with margins on both sides, so that the longest
 series never meets in one task; within a task, all chunks of a partition are worked on together by array
@@ -23,171 +24,242 @@ from pyspark.sql import functions as F
 # What no river carries: m3/s, mg/L, t/day. Below 0 is impossible for all of them.
 LIMITS = {"q": 5e5, "ssc": 1.6e6, "ssl": 5e8}
 FILL = -9999.0
+#: What a flood keeps of its logarithm from one reading to the next, where the model's lag says less.
+RECESSION = 0.7
+#: Share of a patch's mean deviation that its first and its last step must have.
+EDGE = 0.68
+#: Upper quantiles of the innovations that the scale has to cover, with their normal values.
+QUANTILES = ((0.9, 1.645), (0.95, 1.96), (0.98, 2.326))
 
 
-def _segment_median(values: np.ndarray, seg: np.ndarray, n: int, default: float) -> np.ndarray:
-    """Median of the finite values in each segment 0..n-1."""
+def _segment_quantiles(values: np.ndarray, seg: np.ndarray, n: int, qs: tuple[float, ...], default: float) -> list[np.ndarray]:
+    """Quantiles (the mean of the two nearest order statistics) of the finite values in each segment 0..n-1; segments ascend."""
     ok = np.isfinite(values)
     v, s = values[ok], seg[ok]
-    order = np.lexsort((v, s))
-    v, s = v[order], s[order]
+    order = np.argsort(v, kind="stable")
+    order = order[np.argsort(s[order], kind="stable")]  # small whole numbers in runs: a radix or merge sort
+    v = v[order]
     counts = np.bincount(s, minlength=n)
     start = np.r_[0, np.cumsum(counts)[:-1]]
-    out = np.full(n, default)
     has = counts > 0
-    lo, hi = start[has] + (counts[has] - 1) // 2, start[has] + counts[has] // 2
-    out[has] = (v[lo] + v[hi]) / 2
-    return out
+    made = []
+    for q in qs:
+        out = np.full(n, default)
+        at = (counts[has] - 1) * q
+        out[has] = (v[start[has] + np.floor(at).astype(int)] + v[start[has] + np.ceil(at).astype(int)]) / 2
+        made.append(out)
+    return made
+
+
+def _segment_quantile(values: np.ndarray, seg: np.ndarray, n: int, q: float, default: float) -> np.ndarray:
+    return _segment_quantiles(values, seg, n, (q,), default)[0]
+
 
+def _robust_ar(y: np.ndarray, seg: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of each segment: its level, the lag coefficient (Huber weights, two rounds) and the scale of its innovations.
 
-def _robust_ar(y: np.ndarray, seg: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Of each segment: the lag coefficient (Huber weights, three rounds) and the scale of its innovations."""
-    level = _segment_median(y, seg, n, 0.0)
+    The scale is the larger of the normalised median of the absolute innovations and what their upper quantiles would be
+    the quantiles of: floods make innovations long-tailed, and a river that jumps often has to be allowed its jumps.
+    """
+    level = _segment_quantile(y, seg, n, 0.5, 0.0)
     c = y - level[seg]
     same = seg[1:] == seg[:-1]
     a, b, s = c[:-1][same], c[1:][same], seg[1:][same]
     phi = np.full(n, 0.9)
     scale = np.full(n, 0.05)
-    for _ in range(3):
-        e = b - phi[s] * a
-        scale = np.maximum(_segment_median(np.abs(e), s, n, 0.05) * 1.4826, 0.004)
-        w = 1.0 / np.maximum(1.0, np.abs(e) / (1.5 * scale[s]))
+    for _ in range(2):
+        e = np.abs(b - phi[s] * a)
+        scale = np.maximum(_segment_quantile(e, s, n, 0.5, 0.05) * 1.4826, 0.004)
+        w = 1.0 / np.maximum(1.0, e / (1.5 * scale[s]))
         top, low = np.bincount(s, w * a * b, n), np.bincount(s, w * a * a, n)
         phi = np.where(low > 1e-9, np.clip(top / np.maximum(low, 1e-9), 0.0, 0.995), 0.9)
-    return phi, scale
-
-
-def _side_median(y: np.ndarray, seg: np.ndarray, at: np.ndarray, of: np.ndarray, step: int, k: int = 3) -> np.ndarray:
-    """Median of the ``k`` readings before (step -1) or after (+1) positions ``at``, within segments ``of``."""
-    cols = []
-    for i in range(1, k + 1):
-        j = at + step * i
-        ok = (j >= 0) & (j < len(y))
-        j = np.clip(j, 0, max(len(y) - 1, 0))
-        cols.append(np.where(ok & (seg[j] == of), y[j], np.nan))
-    m = np.sort(np.stack(cols), axis=0)  # NaN last
-    have = np.isfinite(m).sum(axis=0)
-    lo, hi = np.maximum(have - 1, 0) // 2, np.maximum(have, 1) // 2
-    hi = np.minimum(hi, k - 1)
-    r = np.arange(m.shape[1])
-    return np.where(have > 0, (m[lo, r] + m[np.where(have > 1, hi, lo), r]) / 2, np.nan)
-
-
-def _spikes(y: np.ndarray, seg: np.ndarray, day: np.ndarray, n: int, jump: float, sigmas: float, longest: int, rounds: int, helped: np.ndarray | None, helped_jump: float) -> np.ndarray:
-    """Additive outliers among the readings of all segments: a mask."""
-    out = np.zeros(len(y), bool)
-    if not len(y):
-        return out
-    phi, scale = _robust_ar(y, seg, n)
-    need_of = np.maximum(jump, sigmas * scale)
-    for _ in range(rounds):
-        idx = np.flatnonzero(~out)
+    # of each reading the least innovation from any of the few before it: a single outlier spoils its own alone
+    least = np.full(len(c), np.inf)
+    for j in range(1, 4):
+        ok = seg[j:] == seg[:-j]
+        f = phi[seg[j:]]
+        over = np.abs(c[j:] - f**j * c[:-j]) / np.sqrt((1.0 - f ** (2 * j)) / (1.0 - f**2))
+        least[j:] = np.where(ok, np.minimum(least[j:], over), least[j:])
+    for found, (_, z) in zip(_segment_quantiles(least, seg, n, tuple(q for q, _ in QUANTILES), 0.0), QUANTILES):
+        scale = np.maximum(scale, found / z)
+    return level, phi, scale
+
+
+def _patch_test(c: np.ndarray, e: np.ndarray, t: np.ndarray, length: int, phi: np.ndarray, sd: np.ndarray, inner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For patches of ``length`` readings from ``t``: the least standardised deviation of their readings (same sign; else 0) from
+    what the readings on both sides predict, and the evidence for a patch against a shift or a flood, in variances.
+
+    Under the model the patch's readings, given their neighbours c[t-1] and c[t+length], are normal around an interpolation.
+    It must be entered and left in one step each, of at least ``EDGE`` of its mean deviation and twice the step before or
+    after (where ``inner`` says that there is one); a flood rises and falls by and by.
+    A patch leaves the one residual from the reading before it to the reading after it. A shift (a change that stays) or
+    a flood (one that dies away by the model's lag or by ``RECESSION`` a reading) leaves what its course, of the best size, does
+    not explain. The evidence is the least of these sums of squares less that of the patch.
+    """
+    p2 = phi * phi
+    span = 1.0 - p2 ** (length + 1)
+    left, right = c[t - 1], c[t + length]
+    z = np.full(len(t), np.inf)
+    sign = np.sign(e[t])
+    height = np.zeros(len(t))
+    for j in range(length):
+        near, far = 1.0 - p2 ** (j + 1), 1.0 - p2 ** (length - j)
+        mean = (phi ** (j + 1) * far * left + phi ** (length - j) * near * right) / span
+        dev = sd * np.sqrt(near * far / ((1.0 - p2) * span))
+        off = sign * (c[t + j] - mean)
+        height += off / length
+        z = np.minimum(z, off / dev)
+    edges = np.minimum(sign * (c[t] - left), sign * (c[t + length - 1] - right))
+    at = np.clip(np.stack([t - 2, t + length + 1]), 0, len(c) - 1)
+    shoulder = np.maximum(sign * (left - c[at[0]]), sign * (right - c[at[1]]))
+    z = np.where((edges >= EDGE * height) & ((edges >= 2.0 * shoulder) | ~inner), z, 0.0)
+    across = (right - phi ** (length + 1) * left) ** 2 / (span / (1.0 - p2))
+    total = sum(e[t + j] ** 2 for j in range(length + 1))
+    other = np.full(len(t), np.inf)
+    for stays in (np.ones(len(t)), np.maximum(phi, RECESSION), np.full(len(t), RECESSION)):
+        x = [np.ones(len(t))] + [stays ** (j - 1) * (stays - phi) for j in range(1, length + 1)]
+        along = sum(x[j] * e[t + j] for j in range(length + 1))
+        other = np.minimum(other, total - along**2 / sum(v * v for v in x))
+    return np.maximum(z, 0.0), (other - across) / sd**2
+
+
+def _resolution(y: np.ndarray, seg: np.ndarray, n: int) -> np.ndarray:
+    """What one step of a series' rounding is worth on the log scale at each reading; the step is a low quantile of its changes."""
+    v = 10.0**y
+    change = np.abs(np.diff(v))
+    ok = (seg[1:] == seg[:-1]) & (change > 0)
+    step = _segment_quantile(np.where(ok, change, np.nan), seg[1:], n, 0.1, 0.0)
+    return np.log10(1.0 + step[seg] / v)
+
+
+def _spikes(y: np.ndarray, seg: np.ndarray, day: np.ndarray, n: int, sigmas: float, longest: int, rounds: int, helped: np.ndarray | None) -> np.ndarray:
+    """Patches of additive outliers among the readings of all segments: a mask.
+
+    Each round fits the model to what is left, tests patches of one to ``longest`` readings wherever an innovation is
+    large, and takes out those whose every reading is ``sigmas`` deviations off and for which a patch explains the
+    residuals better than a level shift or a flood. ``helped`` readings (an input they derive from is wrong) need half of it.
+    """
+    out, active = np.zeros(len(y), bool), np.ones(n, bool)
+    for _ in range(rounds if len(y) else 0):
+        idx = np.flatnonzero(~out & active[seg])
         v, s, d = y[idx], seg[idx], day[idx]
-        need = need_of[s]
-        if helped is not None:
-            need = np.where(helped[idx], np.minimum(need, helped_jump), need)
-        diff = np.diff(v, prepend=v[:1])
+        level, phi_of, scale_of = _robust_ar(v, s, n)
+        phi = phi_of[s]
+        c = v - level[s]
+        # of the reading before and after a step the one with the finer resolution (a fall to zero has none)
+        coarse = _resolution(v, s, n)
+        sd = np.hypot(scale_of[s], np.minimum(coarse, np.r_[coarse[:1], coarse[:-1]]))
         first = np.r_[True, s[1:] != s[:-1]]
         last = np.r_[s[1:] != s[:-1], True]
-        diff[first] = 0.0
+        e = c - phi * np.r_[0.0, c[:-1]]
+        e[first] = 0.0
+        need = np.full(len(v), sigmas)
+        if helped is not None:
+            need = np.where(helped[idx], sigmas / 2, need)
+        pace = np.maximum(_segment_quantile(np.where(s[1:] == s[:-1], np.diff(d), np.nan).astype(float), s[1:], n, 0.5, 1.0), 1.0)
         hit = np.zeros(len(v), bool)
-        big = np.flatnonzero(np.abs(diff) >= 0.7 * need)
+        big = np.flatnonzero(np.abs(e) >= need * sd)
         for length in range(1, longest + 1):
             t = big[~hit[big]]
-            e = t + length  # first reading after the patch
-            ok = e < len(v)
-            t, e = t[ok], e[ok]
-            ok = (s[e] == s[t]) & (d[e - 1] - d[t] <= 3 * longest)
-            t, e = t[ok], e[ok]
-            ok = (np.sign(diff[e]) == -np.sign(diff[t])) & (np.abs(diff[e]) >= 0.7 * need[t])
-            t, e = t[ok], e[ok]
+            t = t[(t + length < len(v)) & ~first[t]]
+            t = t[(s[t + length] == s[t]) & (d[t + length - 1] - d[t] <= 3 * longest * pace[s[t]])]
             if not len(t):
                 continue
-            before, after = _side_median(v, s, t, s[t], -1), _side_median(v, s, e - 1, s[t], 1)
-            sign = np.sign(diff[t])
-            off = np.full(len(t), np.inf)
-            for k in range(length):
-                off = np.minimum(off, np.minimum(sign * (v[t + k] - before), sign * (v[t + k] - after)))
-            # additive outlier against level shift: what is left of the jump once the patch is over
-            near_before, near_after = v[t - 1], v[e]
-            near = np.full(len(t), np.inf)
+            inner = ~first[np.maximum(t - 1, 0)] & ~last[t + length]
+            z, evidence = _patch_test(c, e, t, length, phi[t], sd[t], inner)
+            ok = t[(z >= need[t]) & (evidence >= 2 * need[t] + length - 1)]
             for k in range(length):
-                near = np.minimum(near, np.minimum(sign * (v[t + k] - near_before), sign * (v[t + k] - near_after)))
-            ok = (off >= need[t]) & (np.abs(after - before) <= 0.6 * off)
-            # the same against the nearest readings alone, for outliers on the limbs of a flood
-            ok |= (near >= need[t]) & (off >= 0.7 * need[t]) & (np.abs(near_after - near_before) <= 0.65 * near)
-            # a patch that sits on a flood: both its edges jump by more than a river can in one step, though the
-            # levels before and after differ
-            edges = np.minimum(np.abs(diff[t]), np.abs(diff[e]))
-            mean = sum(sign * v[t + k] for k in range(length)) / length - sign * (before + after) / 2
-            ok |= (length <= 3) & (edges >= need[t]) & (off >= 0.4 * need[t]) & (mean >= need[t]) & ~hit[t - 1] & ~hit[e]
-            for k in range(length):
-                hit[t[ok] + k] = True
-        # at the ends of a series one side has to do, for one or two readings and a larger jump
+                hit[ok + k] = True
+        # at the ends of a series one side has to do, for one or two readings that are farther off; the two readings on
+        # the other side must agree with each other, else it may be the series that moves
         for length in (1, 2):
-            t = np.flatnonzero(first)
-            e = t + length
-            ok = e + 1 < len(v)
-            t, e = t[ok], e[ok]
-            ok = (s[e + 1] == s[t]) & ~hit[t]
-            t, e = t[ok], e[ok]
-            after = _side_median(v, s, e - 1, s[t], 1)
-            off = np.min([np.abs(v[t + k] - after) for k in range(length)], axis=0) if len(t) else np.array([])
-            ok = (off >= need[t] + 0.15) & (np.abs(diff[e]) >= 0.8 * need[t])
-            for k in range(length):
-                hit[t[ok] + k] = True
-            t = np.flatnonzero(last)
-            b = t - length
-            ok = b - 1 >= 0
-            t, b = t[ok], b[ok]
-            ok = (s[b - 1] == s[t]) & ~hit[t]
-            t, b = t[ok], b[ok]
-            before = _side_median(v, s, b + 1, s[t], -1)
-            off = np.min([np.abs(v[t - k] - before) for k in range(length)], axis=0) if len(t) else np.array([])
-            ok = (off >= need[t] + 0.15) & (np.abs(diff[b + 1]) >= 0.8 * need[t])
-            for k in range(length):
-                hit[t[ok] - k] = True
+            for edge, step in ((first, 1), (last, -1)):
+                t = np.flatnonzero(edge)
+                b = t + step * length
+                far = b + 2 * step
+                t = t[(far >= 0) & (far < len(v))]
+                b, far = t + step * length, t + step * (length + 2)
+                keep = (s[far] == s[t]) & ~hit[t]
+                t, b = t[keep], b[keep]
+                if not len(t):
+                    continue
+                z = np.full(len(t), np.inf)
+                sign = np.sign(c[t] - c[b])
+                for k in range(length):
+                    j = length - k  # steps from the patch's reading to the next good one
+                    dev = sd[t] * np.sqrt((1.0 - phi[t] ** (2 * j)) / (1.0 - phi[t] ** 2))
+                    z = np.minimum(z, sign * (c[t + step * k] - phi[t] ** j * c[b]) / dev)
+                calm = (np.abs(c[b] - c[b + step]) < 0.5 * np.abs(c[t + step * (length - 1)] - c[b])) & (np.abs(c[b] - c[b + 2 * step]) < 0.5 * np.abs(c[t + step * (length - 1)] - c[b]))
+                ok = t[(z >= 1.25 * need[t]) & calm]
+                for k in range(length):
+                    hit[ok + step * k] = True
         if not hit.any():
             break
         out[idx[hit]] = True
+        active = np.zeros(n, bool)
+        active[s[hit]] = True  # a series without a find is settled
     return out
 
 
 def _stuck(x: np.ndarray, seg: np.ndarray, least: int, level: float, quiet: np.ndarray | None = None) -> np.ndarray:
     """Runs of one value that are longer than the series' own rate of repeats at that level explains: a mask. A run over
-    ``quiet`` rows, on which what the value derives from repeats itself too, is explained."""
+    ``quiet`` rows, on which what the value derives from repeats itself too, is explained.
+
+    Rates come from running counts of repeats over the series in order of value, so the work is a sort, however many runs
+    a series has.
+    """
     out = np.zeros(len(x), bool)
     if not len(x):
         return out
     new = np.r_[True, (x[1:] != x[:-1]) | (seg[1:] != seg[:-1])]
     start = np.flatnonzero(new)
     length = np.diff(np.r_[start, len(x)])
-    bounds = np.flatnonzero(np.r_[True, seg[1:] != seg[:-1], True])
-    for k in np.flatnonzero((length >= least) & (x[start] != 0)):
-        i, run = start[k], length[k]
-        if quiet is not None and quiet[i + 1 : i + run].mean() >= 0.9:
-            continue
-        b = np.searchsorted(bounds, i, side="right") - 1
-        lo, hi = bounds[b], bounds[b + 1]
-        v, tie = x[lo:hi], ~new[lo:hi]
-        own = np.zeros(hi - lo, bool)
-        own[i - lo : i - lo + run] = True
-        rest = ~own
-        everywhere = tie[rest].sum() / max(rest.sum(), 1)
-        near = rest & (np.abs(v - x[i]) <= 0.35 * abs(x[i]))
-        # a coarsely rounded series repeats itself everywhere, and at low values most: the larger rate counts, and
-        # where there is little else to go by nothing is flagged
-        p = max((tie[near].sum() + 10 * everywhere + 0.05) / (near.sum() + 10), everywhere)
-        if rest.sum() >= 20 and (hi - lo) * p ** (run - 1) < level:
-            out[i : i + run] = True
+    k = (length >= least) & (x[start] != 0)
+    i, run = start[k], length[k]
+    if not len(i):
+        return out
+    if quiet is not None:
+        q = np.r_[0, np.cumsum(quiet)]
+        held = (q[i + run] - q[i + 1]) / np.maximum(run - 1, 1) < 0.9
+        i, run = i[held], run[held]
+    v, s = x[i], seg[i]
+    # readings in order of (series, value): those within 35 % of the run's value are a stretch of that order
+    order = np.lexsort((x, seg))
+    repeats = np.r_[0, np.cumsum(~new[order])]
+    n = int(seg[-1]) + 1
+    bounds = np.searchsorted(seg, np.arange(n + 1))
+    wide = 0.35 * np.abs(v)
+    lo, hi = _within(x[order], bounds, s, v - wide, "left"), _within(x[order], bounds, s, v + wide, "right")
+    whole = bounds[s + 1] - bounds[s]
+    rest, ties = whole - run, repeats[bounds[s + 1]] - repeats[bounds[s]] - (run - 1)
+    near, near_ties = hi - lo - run, repeats[hi] - repeats[lo] - (run - 1)
+    everywhere = ties / np.maximum(rest, 1)
+    # a coarsely rounded series repeats itself everywhere, and at low values most: the larger rate counts, and
+    # where there is little else to go by nothing is flagged
+    p = np.maximum((near_ties + 10 * everywhere + 0.05) / (near + 10), everywhere)
+    for a, m in zip(i[(rest >= 20) & (whole * p ** (run - 1) < level)], run[(rest >= 20) & (whole * p ** (run - 1) < level)]):
+        out[a : a + m] = True
     return out
 
 
-def flag_readings(seg: np.ndarray, day: np.ndarray, values: dict[str, np.ndarray], limits: dict[str, float], jumps: dict[str, float], sigmas: float = 4.5, longest: int = 5, rounds: int = 4, least_run: int = 5, run_level: float = 1e-3, derived: str | None = "ssl") -> dict[str, np.ndarray]:
+def _within(ordered: np.ndarray, bounds: np.ndarray, seg: np.ndarray, value: np.ndarray, side: str) -> np.ndarray:
+    """Positions of ``value`` in the stretch of its segment (each in ascending order), by bisection over all at once."""
+    lo, hi = bounds[seg].copy(), bounds[seg + 1].copy()
+    while (open_ := lo < hi).any():
+        mid = (lo + hi) // 2
+        at = ordered[np.minimum(mid, len(ordered) - 1)]
+        right = open_ & ((at < value) if side == "left" else (at <= value))
+        lo = np.where(right, mid + 1, lo)
+        hi = np.where(open_ & ~right, mid, hi)
+    return lo
+
+
+def flag_readings(seg: np.ndarray, day: np.ndarray, values: dict[str, np.ndarray], limits: dict[str, float], sigmas: float = 6.5, longest: int = 5, rounds: int = 4, least_run: int = 5, run_level: float = 1e-5, derived: str | None = "ssl") -> dict[str, np.ndarray]:
     """0 plausible, 1 spike, 2 stuck, 3 impossible for each reading; rows in order of series and day."""
     n = int(seg[-1]) + 1 if len(seg) else 0
     flags, wrong = {}, np.zeros(len(seg), bool)
     quiet, changed = np.zeros(len(seg), bool), np.zeros(len(seg), bool)  # some input repeats itself, none changes
+    product, inputs = np.zeros(len(seg)), 0  # sum of the inputs' logarithms where all are there and plausible
     for name in sorted(values, key=lambda v: v == derived):
         x = values[name]
         f = np.zeros(len(x), np.int8)
@@ -199,7 +271,9 @@ def flag_readings(seg: np.ndarray, day: np.ndarray, values: dict[str, np.ndarray
         low = _segment_low(v, s, n)
         y = np.log10(np.maximum(v, low[s]))
         stuck = _stuck(v, s, least_run, run_level, quiet[k] if name == derived else None)
-        spike = _spikes(y, s, day[k], n, jumps.get(name, 0.7), sigmas, longest, rounds, wrong[k] if name == derived else None, 0.55)
+        spike = _spikes(y, s, day[k], n, sigmas, longest, rounds, wrong[k] if name == derived else None)
+        if name == derived and inputs:
+            spike &= ~_explained(y - product[k], s, n)
         f[k[stuck]] = 2
         f[k[spike & ~stuck]] = 1
         if name != derived:
@@ -208,10 +282,23 @@ def flag_readings(seg: np.ndarray, day: np.ndarray, values: dict[str, np.ndarray
             quiet[k[tie]] = True
             changed[k[~tie]] = True
             quiet &= ~changed
+            own = np.full(len(x), np.nan)
+            own[k] = np.where(spike | stuck | (v <= 0), np.nan, y)
+            product, inputs = product + own, inputs + 1
         flags[name] = f
     return flags
 
 
+def _explained(ratio: np.ndarray, seg: np.ndarray, n: int) -> np.ndarray:
+    """Readings whose log ratio to the product of their plausible inputs is that of their series: a flood in the inputs is
+    one in what derives from them. Only where most of a series keeps that ratio; NaN (an input missing or flagged) is no."""
+    if not len(ratio):
+        return np.zeros(0, bool)
+    off = np.abs(ratio - _segment_quantile(ratio, seg, n, 0.5, np.nan)[seg])
+    usual = _segment_quantile(off, seg, n, 0.75, np.inf)[seg]
+    return np.nan_to_num(off, nan=np.inf) <= np.where(usual < 0.05, np.maximum(3 * usual, 0.02), 0.0)
+
+
 def _segment_low(v: np.ndarray, s: np.ndarray, n: int) -> np.ndarray:
     """Where a zero is put on the log scale of each segment: a twentieth of the 2 % quantile of its positive values, so that
     spikes downwards keep a decade of room."""
@@ -226,17 +313,17 @@ def _segment_low(v: np.ndarray, s: np.ndarray, n: int) -> np.ndarray:
     return np.maximum(out / 10, 1e-12)
 
 
-def implausible_readings(df: DataFrame, record_id: str, series: str, date: str, variables: list[str], limits: dict[str, float] | None = None, span_days: int = 8192, margin_days: int = 400, jumps: dict[str, float] | None = None) -> DataFrame:
+def implausible_readings(df: DataFrame, record_id: str, series: str, date: str, variables: list[str], limits: dict[str, float] | None = None, span_days: int = 32768, margin_days: int = 400, sigmas: float = 6.5) -> DataFrame:
     """Readings that cannot be true: record_id, variable, reason ('spike', 'stuck' or 'impossible').
 
-    A spike is off its series on both sides by ``jumps`` (log10) and 4.5 robust standard deviations for up to five
-    readings; floods and dry spells decay or last and are none. Every reading of a stuck run is given, the first
+    A spike is a patch of up to five readings that a robust autoregression of the logarithms finds ``sigmas`` innovation
+    scales off what both sides predict, and that is explained better as a patch than as a level shift or a flood. A load
+    that follows from plausible inputs is none. Every reading of a stuck run is given, the first
     too. Null, NaN and -9999 are no readings. Rows of one record_id count once; rows without series or date are
-    left out; other columns are not read. A series is judged in spans of ``span_days`` with ``margin_days`` of
-    context, so a task holds at most that many days of one series at a time.
+    left out; other columns are not read. A series of up to ``span_days`` (ninety years) is judged whole; a longer one in spans of
+    that length with ``margin_days`` of context, so a task holds at most that many days of one series at a time.
     """
     limits = LIMITS if limits is None else limits
-    jumps = {"q": 0.7, "ssc": 0.7, "ssl": 0.8} if jumps is None else jumps
     day = F.unix_date(F.col(date).cast("date"))
     chunk = lambda d: F.floor(d / span_days).cast("int")
     rid_type = df.schema[record_id].dataType.simpleString()
@@ -255,7 +342,7 @@ def implausible_readings(df: DataFrame, record_id: str, series: str, date: str,
         seg = np.cumsum(start)[once] - 1
         d = day_no[once].astype(np.int64)
         values = {v: table[v].to_numpy()[once].astype(float) for v in variables}
-        flags = flag_readings(seg, d, values, limits, jumps)
+        flags = flag_readings(seg, d, values, limits, sigmas)
         core = (d // span_days) == chunk_no[once]
         out_id, out_var, out_why = [], [], []
         kept = ids[once]

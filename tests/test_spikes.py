@@ -86,3 +86,40 @@ def test_many_series_in_one_task(spark):
         want.add((s * 100 + 30, "q"))
     df = spark.createDataFrame(rows, "record_id bigint, uid string, day date, q double, ssc double")
     assert want <= set(flags(df)) and len(flags(df)) <= len(want) + 2
+
+
+def test_the_model_decides(spark):
+    """The same jump is a spike in a quiet series and no case in one whose innovations are as large."""
+    quiet, loud = noisy(400), noisy(400)
+    rng = np.random.default_rng(3)
+    loud = np.round(loud * 10 ** rng.normal(0, 0.3, 400), 2)
+    quiet[200] *= 5
+    loud[200] *= 5
+    assert flags(series(spark, quiet)) == {(200, "q"): "spike"}
+    assert flags(series(spark, loud)) == {}
+    assert flags(series(spark, quiet), sigmas=1000.0) == {}
+
+
+def test_long_runs_in_a_long_coarse_series_are_quick(spark):
+    v = np.repeat(np.arange(3000) % 7 + 1, 6)
+    import time
+
+    from fluvion.operators.spikes import flag_readings
+
+    t = time.time()
+    f = flag_readings(np.zeros(len(v), int), np.arange(len(v)), {"q": v.astype(float)}, {"q": 5e5})
+    assert not (f["q"] == 2).any() and time.time() - t < 5
+
+
+def test_a_load_that_follows_from_a_flood_is_none():
+    from fluvion.operators.spikes import LIMITS, flag_readings
+
+    q, ssc = noisy(500, 1), noisy(500, 2)
+    q[250:253] *= (4, 5, 4)
+    ssc[250:253] *= (4, 5, 4)
+    ssl = q * ssc * 0.0864
+    ssl[100] *= 30
+    f = flag_readings(np.zeros(500, int), np.arange(500), {"q": q, "ssc": ssc, "ssl": ssl}, LIMITS)
+    assert f["ssl"][100] == 1
+    g = flag_readings(np.zeros(500, int), np.arange(500), {"q": np.where(np.arange(500) // 3 == 83, np.nan, q), "ssc": ssc, "ssl": ssl}, LIMITS)
+    assert g["ssl"][100] == 1
