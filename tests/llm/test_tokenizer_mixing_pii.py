@@ -157,3 +157,25 @@ def test_an_address_is_found_alone_in_a_text(address):
 
 def test_an_iban_is_found_alone_in_a_text():
     assert pii.find("IBAN DE89 3704 0044 0532 0130 00") == [("id_number", 5, 32)]
+
+
+@pytest.mark.parametrize("text,want", [("The sample was taken by Priyanka Raghunathan", "Priyanka Raghunathan"), ("Priyanka Raghunathan waded in", "Priyanka Raghunathan"), ("GB82WEST12345698765432 was used", "GB82WEST12345698765432"), ("IBAN: DE89 3704 0044 0532 0130 00", "DE89 3704 0044 0532 0130 00"), ("pagamento 529.982.247-25", "529.982.247-25"), ("Calle " + "Larga" * 40 + " 1234, Madrid", "Calle " + "Larga" * 40 + " 1234"), ("Maria River rose. Anna Creek fell.", None), ("GB83WEST12345698765432 was used", None), ("pagamento 529.982.247-24", None)])
+def test_context_and_check_digits_confirm_alone(text, want):
+    assert [text[s:e] for _, s, e in pii.find(text)] == ([want] if want else [])
+
+
+def test_a_given_name_that_no_list_holds_is_learned_from_its_contexts(spark):
+    rows = [(k, f"Observer: Xanthira Vel{k * 'o'}mar. The gauge was read.") for k in range(1, 6)] + [(9, "We met Xanthira Pelmar at the weir. We met Grand Total at noon.")]
+    df = spark.createDataFrame(rows, "doc_id int, text string")
+    assert pii.given_names(df) == frozenset({"xanthira"})
+    got = {(r["doc_id"], rows[-1][1][r["start_offset"] : r["end_offset"]]) for r in pii.find_pii(df).filter("doc_id = 9").collect()}
+    assert got == {(9, "Xanthira Pelmar")}
+    assert pii.find(rows[-1][1]) == []
+
+
+def test_many_spans_in_one_long_text_are_quick():
+    import time
+
+    text = "Write to a.b@c.example or call +44 7700 900190. " * 20_000
+    t = time.time()
+    assert len(pii.find(text)) == 40_000 and time.time() - t < 60
