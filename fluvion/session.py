@@ -60,6 +60,12 @@ def materialize(df: DataFrame, drop: list[str] | None = None) -> DataFrame:
     return out
 
 
+def drop_tables(*tables: DataFrame) -> None:
+    """Remove tables that ``materialize`` wrote and that nothing lazy refers to any more."""
+    for t in tables:
+        _remove(t.sparkSession, t.fluvion_path)
+
+
 def _forget(spark: SparkSession, path: str) -> None:
     """Delete a table when the program ends: through the session if it is still there, else as a file of this machine."""
     try:
