@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from fluvion.functions.geo import valid_position, wrap_lon
 from fluvion.llm.components import connected_components
 from fluvion.llm.names import alike, site, water
-from fluvion.session import materialize
+from fluvion.session import drop_tables, materialize
 
 WINDOW = 32
 BLOCK = 4096
@@ -215,77 +215,85 @@ def _compared(pairs: DataFrame, first: DataFrame, second: DataFrame, least: floa
     return j.filter(F.col("confidence") >= least).groupBy("a", "b").agg(F.max("confidence").alias("confidence"))
 
 
-def _best_total(edges: list[tuple[str, str, float]]) -> list[tuple[str, str, float]]:
-    """One-to-one choice of edges with the largest sum of weights (exact: longest augmenting paths)."""
-    out: dict[str, dict[str, float]] = {}
-    for a, b, w in sorted(edges):
-        out.setdefault(a, {})[b] = max(w, out.get(a, {}).get(b, 0.0))
-    of_a: dict[str, str] = {}
-    of_b: dict[str, str] = {}
-    while True:
-        # gain of the best alternating path from any free a to each b (Bellman-Ford over alternating edges)
-        gain = {a: 0.0 for a in out if a not in of_a}
-        via: dict[str, str] = {}
-        reach: dict[str, float] = {}
-        todo = sorted(gain)
-        while todo:
-            nxt = []
-            for a in todo:
-                for b, w in out[a].items():
-                    if of_a.get(a) == b:
-                        continue
-                    g = gain[a] + w
-                    if g > reach.get(b, -1e18) + 1e-12:
-                        reach[b], via[b] = g, a
-                        if b in of_b:
-                            c = of_b[b]
-                            h = g - out[c][b]
-                            if h > gain.get(c, -1e18) + 1e-12:
-                                gain[c] = h
-                                nxt.append(c)
-            todo = nxt
-        free = [(g, b) for b, g in reach.items() if b not in of_b and g > 1e-12]
-        if not free:
-            return [(a, b, out[a][b]) for a, b in sorted(of_a.items())]
-        _, b = max(free, key=lambda t: (t[0], t[1]))
-        while True:
-            a = via[b]
-            old = of_a.get(a)
-            of_a[a], of_b[b] = b, a
-            if old is None:
-                break
-            b = old
-
-
-def _auction(edges: DataFrame, step: float = 0.01, max_rounds: int = 400) -> DataFrame:
-    """One-to-one assignment of edges (a, b, w) by auction, for components too large for one task.
-
-    In each round every free bidder offers for its best partner the margin over its second best (or over staying
-    alone) plus ``step``; each partner keeps the highest offer. The total is within ``step`` a pair of the optimum.
+#: Weights and prices of the auction are whole numbers of this; so is its step, and every engine that runs it gives the same choice.
+UNIT = 1_000_000
+STEP = 5_000
+#: Edges of a component that one task runs the auction over (about 100 bytes each); larger components run it as table joins.
+IN_ONE_TASK = 1_000_000
+
+
+def auction(edges: list[tuple[str, str, float]]) -> list[tuple[str, str, float]]:
+    """One-to-one choice of the edges (a, b, w) with the largest sum of w, within ``STEP`` / ``UNIT`` a pair of the largest.
+
+    In each round every free bidder a offers for its best partner what that is worth to it beyond its second best (or
+    beyond staying alone), and a step; each partner keeps the highest offer (ties: the larger id on either side). Prices
+    only rise and no bidder pays more than the edge is worth, so it ends.
     """
+    best: dict[tuple[str, str], float] = {}
+    for a, b, w in edges:
+        best[a, b] = max(w, best.get((a, b), 0.0))
+    if not best:
+        return []
+    keys = sorted(best)
+    names_a, a = np.unique(np.array([k[0] for k in keys], object), return_inverse=True)
+    names_b, b = np.unique(np.array([k[1] for k in keys], object), return_inverse=True)
+    w = np.round(np.array([best[k] for k in keys]) * UNIT).astype(np.int64)
+    price = np.zeros(len(names_b), np.int64)
+    owner, held = np.full(len(names_b), -1), np.full(len(names_a), -1)
+    live = np.ones(len(keys), bool)  # edges still worth their price
+    while True:
+        e = np.flatnonzero(live & (held[a] < 0))
+        net = w[e] - price[b[e]]
+        live[e[net <= 0]] = False
+        e, net = e[net > 0], net[net > 0]
+        if not len(e):
+            break
+        order = np.lexsort((b[e], net, a[e]))
+        e, net = e[order], net[order]
+        top = np.flatnonzero(np.r_[a[e][1:] != a[e][:-1], True])  # the last of a bidder is its best
+        second = np.where((top > 0) & (a[e][top - 1] == a[e][top]), net[top - 1], 0)
+        bidder, target, more = a[e][top], b[e][top], net[top] - second + STEP
+        order = np.lexsort((bidder, more, target))
+        bidder, target, more = bidder[order], target[order], more[order]
+        won = np.flatnonzero(np.r_[target[1:] != target[:-1], True])
+        out = owner[target[won]]
+        held[out[out >= 0]] = -1
+        owner[target[won]] = bidder[won]
+        held[bidder[won]] = target[won]
+        price[target[won]] += more[won]
+    return [(x, names_b[k], best[x, names_b[k]]) for x, k in zip(names_a, held) if k >= 0]
+
+
+def _auction(edges: DataFrame, max_rounds: int = 100_000) -> DataFrame:
+    """The same auction round for round as joins over tables, for components too large for one task. Raises if it has not
+    ended after ``max_rounds``; of each round only the prices stay."""
     spark = edges.sparkSession
-    held = spark.createDataFrame([], "a string, b string, price double")
-    held = materialize(held)
+    e = materialize(edges.select("a", "b", "w", F.round(F.col("w") * UNIT).cast("bigint").alias("n")))
+    held = materialize(spark.createDataFrame([], "a string, b string, price bigint"))
     for _ in range(max_rounds):
-        prices = held.select("b", "price")
-        open_ = edges.join(held.filter("a is not null").select("a"), "a", "left_anti").join(prices, "b", "left").withColumn("net", F.col("w") - F.coalesce("price", F.lit(0.0)))
-        # a bidder has at most 14 * WINDOW candidates: two neighbours' windows under each of seven keys
-        bids = open_.filter("net > 0").groupBy("a").agg(F.max(F.struct("net", "b")).alias("top"), F.slice(F.sort_array(F.collect_list("net"), asc=False), 1, 2).alias("nets"))
-        bids = bids.select("a", F.col("top.b").alias("b"), (F.col("top.net") - F.greatest(F.coalesce(F.try_element_at("nets", F.lit(2)), F.lit(0.0)), F.lit(0.0)) + step).alias("raise"))
-        won = bids.groupBy("b").agg(F.max(F.struct("raise", "a")).alias("t")).select("b", F.col("t.a").alias("a"), F.col("t.raise").alias("raise"))
-        won = materialize(won)
+        open_ = e.join(held.filter("a is not null").select("a"), "a", "left_anti").join(held.select("b", "price"), "b", "left").withColumn("net", F.col("n") - F.coalesce("price", F.lit(0)))
+        # the two best of each bidder: the best by (net, b), and the best net among the others
+        open_ = open_.filter("net > 0").select("a", "b", "net")
+        top = open_.groupBy("a").agg(F.max(F.struct("net", "b")).alias("top"))
+        second = open_.join(top, "a").filter(F.col("b") != F.col("top.b")).groupBy("a").agg(F.max("net").alias("second"))
+        bids = top.join(second, "a", "left").select("a", F.col("top.b").alias("b"), (F.col("top.net") - F.coalesce("second", F.lit(0)) + STEP).alias("more"))
+        won = materialize(bids.groupBy("b").agg(F.max(F.struct("more", "a")).alias("t")).select("b", F.col("t.a").alias("na"), F.col("t.more").alias("more")))
         if won.isEmpty():
-            break
-        new = held.join(won.select("b", F.col("a").alias("na"), "raise"), "b", "full").select(F.coalesce("na", "a").alias("a"), "b", (F.coalesce("price", F.lit(0.0)) + F.coalesce("raise", F.lit(0.0))).alias("price"))
+            drop_tables(won)
+            return held.join(e, ["a", "b"]).select("a", "b", "w")
+        # who wins a partner gives up none (it was free); who held the partner is free again
+        new = held.join(won, "b", "full").select(F.coalesce("na", "a").alias("a"), "b", (F.coalesce("price", F.lit(0)) + F.coalesce("more", F.lit(0))).alias("price"))
         held = materialize(new, drop=[held.fluvion_path])
-    return held.join(edges, ["a", "b"]).select("a", "b", "w")
+        drop_tables(won)
+    raise RuntimeError(f"the assignment has not settled after {max_rounds} rounds")
 
 
-def assign(edges: DataFrame, in_one_task: int = 5_000) -> DataFrame:
-    """One-to-one choice of the edges (a, b, w) that maximises the sum of w: columns a, b, w.
+def assign(edges: DataFrame, in_one_task: int = IN_ONE_TASK) -> DataFrame:
+    """One-to-one choice of the edges (a, b, w) that maximises the sum of w, within STEP / UNIT a pair: columns a, b, w.
 
-    Edges whose two ends have no other edge are chosen at once. The others are cut into connected components;
-    components of up to ``in_one_task`` edges are solved exactly, each in a task, larger ones by a distributed auction.
+    Edges whose two ends have no other edge are chosen at once. The others are cut into connected components, and an auction
+    runs over each: inside a task up to ``in_one_task`` edges, as joins beyond. Both run the same rounds in whole numbers, so
+    the choice does not depend on where a component is solved.
     """
     da, db = edges.groupBy("a").agg(F.count("*").alias("na")), edges.groupBy("b").agg(F.count("*").alias("nb"))
     e = materialize(edges.join(da, "a").join(db, "b"))
@@ -300,11 +308,11 @@ def assign(edges: DataFrame, in_one_task: int = 5_000) -> DataFrame:
     marked = marked.join(sizes, "component")
 
     def solve(pdf: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame(_best_total(list(zip(pdf["a"], pdf["b"], pdf["w"]))), columns=["a", "b", "w"])
+        return pd.DataFrame(auction(list(zip(pdf["a"], pdf["b"], pdf["w"]))), columns=["a", "b", "w"])
 
     out = clear.unionByName(marked.filter(F.col("n") <= in_one_task).groupBy("component").applyInPandas(solve, "a string, b string, w double"))
     large = marked.filter(F.col("n") > in_one_task).select("a", "b", "w")
-    return out if large.isEmpty() else out.unionByName(_auction(materialize(large)))
+    return out if large.isEmpty() else out.unionByName(_auction(large))
 
 
 def match_sites(first: DataFrame, second: DataFrame, window: int = WINDOW, least: float = LEAST) -> DataFrame:
@@ -313,9 +321,9 @@ def match_sites(first: DataFrame, second: DataFrame, window: int = WINDOW, least
     Both: id (string), name, river, lat, lon, area; ``second`` may have several rows an id, as the same entity is written in
     several ways. Null, blank and missing-word fields take no part in a comparison; a record without name and
     without position has no match. Records of ``first`` that are one site among themselves are assigned together, and such
-    sites and the entities are assigned one to one with the largest total confidence; a record that this leaves
-    without entity, though like one, is a further record of that entity. Every member of a site is compared with the
-    site's entity, also where no window brought the two together. Each record has at most one. Repeated
+    sites and the entities are assigned one to one with the largest total confidence. Every member of a site is compared with the
+    site's entity, also where no window brought the two together; a record that this leaves without entity joins that of
+    a matched site with whose members it is alike, if it is like the entity too. Each record has at most one. Repeated
     rows count once. Empty inputs give no rows.
     """
     need = ("id", "name", "river", "lat", "lon", "area")  # other columns take no part, whatever their names
@@ -340,6 +348,7 @@ def match_sites(first: DataFrame, second: DataFrame, window: int = WINDOW, least
     variants = plain.unionByName(other).unionByName(flipped)
     records = materialize(variants.unionByName(b))
     variants, b = records.filter("side = 0"), records.filter("side = 1")
+    plain_rows = variants.filter("not turned")
     pairs = materialize(_windows(records, window, least))
     across = pairs.filter("kind = 0").select("a", "b", F.col("confidence").alias("w"))
     within = pairs.filter("kind = 1 and confidence >= 0.75")
@@ -352,11 +361,20 @@ def match_sites(first: DataFrame, second: DataFrame, window: int = WINDOW, least
     # the other members of a site need not have met its entity in a window: each is compared with it
     members = sites.unionByName(own.select("a", "site")).distinct().join(met.select("a"), "a", "left_anti")
     linked = materialize(met.unionByName(_compared(members.join(entity, "site").select("a", "b"), variants, b, least)))
-    # what the assignment leaves out is a further record of the entity it is most like, among those it met and the one its site is most like
-    best = own.groupBy("site").agg(F.max(F.struct("confidence", "b")).alias("m")).select("site", "m.b")
-    rest = members.join(linked.select("a"), "a", "left_anti")
-    seen = own.select("a", "b", "confidence").join(rest.select("a"), "a", "left_semi")
-    left = seen.unionByName(_compared(rest.join(best, "site").select("a", "b").join(seen.select("a", "b"), ["a", "b"], "left_anti"), variants, b, least))
+    # a record that the assignment leaves out is a further record of a matched site if it is like one of that site's members, and
+    # then of its entity, with which it is compared like them
+    alike_pairs = pairs.filter("kind = 1")
+    beside = alike_pairs.select("a", F.col("b").alias("m")).unionByName(alike_pairs.select(F.col("b").alias("a"), F.col("a").alias("m")))
+    rest = members.join(linked.select("a"), "a", "left_anti").select("a").distinct()
+    matched = linked.select(F.col("a").alias("m"), "b")
+    further = beside.join(rest, "a").join(matched, "m").select("a", "b").distinct()
+    # records that no window brought beside a member are compared with one of them, that most like the entity
+    foremost = linked.groupBy("b").agg(F.max(F.struct("confidence", "a")).alias("m")).select("b", F.col("m.a").alias("m"))
+    met_other = own.join(rest, "a", "left_semi").join(further, ["a", "b"], "left_anti").join(foremost, "b").select("a", "b", "m")
+    like = _compared(met_other.select("a", F.col("m").alias("b")).distinct(), variants, plain_rows, least).select("a", F.col("b").alias("m"))
+    further = further.unionByName(met_other.join(like, ["a", "m"], "left_semi").select("a", "b")).distinct()
+    seen = own.select("a", "b", "confidence").join(further, ["a", "b"], "left_semi")
+    left = seen.unionByName(_compared(further.join(seen.select("a", "b"), ["a", "b"], "left_anti"), variants, b, least))
     left = left.groupBy("a").agg(F.max(F.struct("confidence", "b")).alias("m"))
     out = linked.unionByName(left.select("a", "m.b", "m.confidence"))
     return out.withColumnRenamed("a", "first_id").join(alikes, "first_id").select(F.col("id").alias("a"), "b", "confidence")
