@@ -36,3 +36,37 @@ def require(checks: DataFrame) -> None:
     bad = [r["check"] for r in checks.filter("status = 'fail'").select("check").collect()]
     if bad:
         raise ValueError("failed checks: " + ", ".join(sorted(bad)))
+
+
+def one_to_one(left: DataFrame, right: DataFrame, key: str, same: list[str] = (), close: dict[str, float] | None = None) -> DataFrame:
+    """Inner join of two frames that must hold the same keys, each once, and agree on ``same`` columns exactly and on ``close`` ones within
+    a tolerance (null agrees with null). Raises with the number of rows that break each rule; else gives ``left`` with the
+    columns of ``right`` that it lacks.
+    """
+    close = close or {}
+    marked = lambda d, n: d.groupBy(key).agg(F.count("*").alias(n))
+    k = marked(left, "_a").join(marked(right, "_b"), key, "full")
+    rules = {f"{key}: repeated left": F.col("_a") > 1, f"{key}: repeated right": F.col("_b") > 1, f"{key}: missing right": F.col("_b").isNull(), f"{key}: missing left": F.col("_a").isNull(), f"{key}: null": F.col(key).isNull()}
+    bad = counted(k, rules)
+    both = left.select(key, *[F.col(c).alias(f"_l_{c}") for c in (*same, *close)]).join(right.select(key, *[F.col(c).alias(f"_r_{c}") for c in (*same, *close)]), key)
+    differ = {f"{c}: differs": ~F.col(f"_l_{c}").eqNullSafe(F.col(f"_r_{c}")) for c in same}
+    for c, t in close.items():
+        a, b = F.col(f"_l_{c}"), F.col(f"_r_{c}")
+        differ[f"{c}: differs by more than {t}"] = ~(a.eqNullSafe(b) | F.coalesce(F.abs(a - b) <= t, F.lit(False)))
+    require(together(bad, counted(both, differ)) if differ else bad)
+    return left.join(right.select(key, *[c for c in right.columns if c not in left.columns]), key)
+
+
+def unique_nonempty(df: DataFrame, key: str, whole: bool = False) -> DataFrame:
+    """Checks that ``key`` is there in every row, not blank, a whole number where ``whole``, and occurs once."""
+    c = F.col(key)
+    rules = {f"{key}_present": c.isNull() | (F.trim(c.cast("string")) == "")}
+    if whole:
+        rules[f"{key}_whole"] = c.isNotNull() & ~c.cast("string").rlike(r"^\s*-?\d+(\.0+)?\s*$")
+    return together(counted(df, rules), unique(df.filter(c.isNotNull()), f"{key}_unique", key))
+
+
+def many_to_one(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """Left join to a frame whose ``key`` must be unique; raises otherwise."""
+    require(unique(right.filter(F.col(key).isNotNull()), f"{key}_unique_in_dimension", key))
+    return left.join(right, key, "left")

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fluvion.functions.geo import EARTH_RADIUS_ROUND_M
-from fluvion.session import materialize
+from fluvion.session import drop_tables, materialize
 
 
 def edges_from_columns(df: DataFrame, node: str, parents: list[str]) -> DataFrame:
@@ -20,17 +20,19 @@ def reach(edges: DataFrame, starts: DataFrame, start: str, max_hops: int) -> Dat
     """(start, node, hops): the nodes within ``max_hops`` steps of each start along the edges, with the fewest hops.
 
     Breadth first over all starts at once. A node leaves the frontier once seen, so cycles and diamonds end; each
-    frontier is written to the shared folder, and a step is one shuffle join on the node.
+    frontier is written once to the shared folder and never again, and a step is one shuffle join on the node. The result
+    is the union of the frontiers.
     """
-    front = materialize(starts.select(F.col(start).alias("start"), F.col(start).alias("node")).filter("start is not null").distinct())
-    seen = front.withColumn("hops", F.lit(0))
+    front = materialize(starts.select(F.col(start).alias("start"), F.col(start).alias("node")).filter("start is not null").distinct().withColumn("hops", F.lit(0)))
+    seen = front
     e = edges.distinct()
     for k in range(1, max_hops + 1):
         step = front.join(e, front["node"] == e["src"]).select("start", F.col("dst").alias("node")).distinct().join(seen, ["start", "node"], "left_anti")
-        front = materialize(step)
+        front = materialize(step.withColumn("hops", F.lit(k)))
         if front.isEmpty():
+            drop_tables(front)
             break
-        seen = materialize(seen.unionByName(front.withColumn("hops", F.lit(k))))
+        seen = seen.unionByName(front)
     return seen
 
 

@@ -44,7 +44,11 @@ def average_rank(df: DataFrame, groups: list[str], value: str, out: str) -> Data
     parts = s.groupBy("_p", *groups).agg(F.sum("_c").alias("_n"))  # a row a range and group
     before = parts.withColumn("_before", F.sum("_n").over(W.partitionBy(*groups).orderBy("_p").rowsBetween(W.unboundedPreceding, 0)) - F.col("_n")).drop("_n")
     run = F.sum("_c").over(W.partitionBy("_p", *groups).orderBy(value).rowsBetween(W.unboundedPreceding, 0))
-    r = s.withColumn("_run", run).join(F.broadcast(before) if fits_broadcast(before) else before, ["_p", *groups])
+    before = before.withColumnsRenamed({g: f"_b_{g}" for g in groups}).withColumnRenamed("_p", "_q")
+    at = F.col("_p") == F.col("_q")
+    for g in groups:
+        at = at & F.col(g).eqNullSafe(F.col(f"_b_{g}"))
+    r = s.withColumn("_run", run).join(F.broadcast(before) if fits_broadcast(before) else before, at)
     r = r.select(*groups, F.col(value).alias("_value"), (F.col("_before") + F.col("_run") - (F.col("_c") - 1) / 2.0).alias(out))
     on = F.col(value).eqNullSafe(F.col("_value"))
     for g in groups:

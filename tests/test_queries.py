@@ -6,7 +6,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 import pytest
 
 from compare import connect, same
-from fluvion.plans import aggregates, analyses, cleaning, core_queries, extras, joins, registry, structure, temporal  # noqa: F401
+from fluvion.plans import aggregates, analyses, cleaning, core_queries, extras, joins, registry, release, structure, temporal  # noqa: F401
 
 ALL = registry.QUERIES | core_queries.QUERIES
 SQL = registry.ORACLE | core_queries.ORACLE
