@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fluvion.functions.text import MISSING_WORDS, canonical_uid, clean_text, cluster_number, key_text, strip
 from fluvion.llm.components import connected_components
 from fluvion.llm.golden import best_rows, golden_records
 from fluvion.llm.matching import match_sites
-from fluvion.llm.mixing import mix
+from fluvion.llm.mixing import mix, topics
 from fluvion.llm.nearest_time import nearest_in_time
 from fluvion.llm.pii import find_pii, mask_pii
 from fluvion.llm.tokenizer import count_tokens, encode_corpus
@@ -96,21 +96,11 @@ def p8_ids(spark: SparkSession, sf: str) -> DataFrame:
 
 # --- p9: mix -----------------------------------------------------------------------------------
 
-# Words (of the six languages) that put a text into a topic, tried in this order.
-TOPICS = {"quality": r"\b(qc|flag|flagged|instrument fault|doubtful|dudoso|semble fausse|unglaubw|errado)\b|可疑", "sediment": r"suspended|sediment|sedimento|schwebstoff|ssc|concentra|含沙量", "water": r"discharge|flood|gauge|caudal|crecida|crue|hochwasser|cheia|流量", "archive": r"chart|report|library|inventory|table|mapas|cartes|karten"}
-
-
-def _topic(text: Column) -> Column:
-    t, out = F.lower(text), None
-    for name, words in TOPICS.items():
-        out = F.when(t.rlike(words), name) if out is None else out.when(t.rlike(words), name)
-    return out.otherwise("other")
-
-
 def _mixed(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     docs = table(spark, sf, "documents", "doc_id", "text", "lang", "source")
-    docs = docs.select("doc_id", "text", key_text("source").alias("source"), F.substring(key_text("lang"), 1, 2).alias("language"), _topic(F.col("text")).alias("topic"))
-    sized = materialize(count_tokens(docs.filter("source is not null")).drop("text"))  # counted once, used several times
+    docs = docs.select("doc_id", "text", key_text("source").alias("source"), F.substring(key_text("lang"), 1, 2).alias("language"))
+    docs = topics(docs.filter("source is not null"), "doc_id", "text")
+    sized = materialize(count_tokens(docs).drop("text"))  # counted once, used several times
     return mix(sized, table(spark, sf, "mix_targets"), "doc_id", F.col("source"), "n_tokens", F.col("language"), F.col("topic"))
 
 

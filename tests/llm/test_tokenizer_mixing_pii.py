@@ -10,7 +10,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from fluvion.llm import pii
-from fluvion.llm.mixing import mix, rake
+from fluvion.llm.mixing import mix, rake, topics
 from fluvion.llm.tokenizer import PATTERN, Automaton, count_tokens, decode_corpus, encode_corpus, load_ranks
 
 public = pytest.importorskip("public_tokenizers")
@@ -62,7 +62,7 @@ def docs(spark, n, sources, seed=1):
 def run_mix(spark, d, targets):
     t = spark.createDataFrame(targets, "source string, target_share double, max_repeats int")
     a, b = mix(d, t, "doc_id", F.lower(F.trim("source")), "n", F.col("lang"), F.col("topic"))
-    return a.toPandas(), {r["source"]: r for r in b.collect()}
+    return a.toPandas(), {r["value"]: r for r in b.filter("margin = 'source'").collect()}
 
 
 def test_mix_meets_shares_and_caps(spark):
@@ -90,6 +90,15 @@ def test_mix_of_nothing(spark):
     assert len(m) == 0
 
 
+def test_topics_and_margins(spark):
+    a, b = "the flood gauge rose over the weir and the discharge grew", "suspended sediment sample bottle filter paper weighed in the laboratory"
+    df = spark.createDataFrame([(i, (a, b, "", None)[i % 4], "x") for i in range(200)], "doc_id int, text string, topic string")
+    t = topics(df.drop("topic"), "doc_id", "text", k=2)
+    got = {(r["doc_id"] % 4, r["topic"]) for r in t.collect()}
+    assert len(got) == 4 and (2, "?") in got and (3, "?") in got and len({x for k, x in got if k < 2}) == 2
+    assert topics(df.limit(0).drop("topic"), "doc_id", "text").count() == 0
+
+
 def test_raking_keeps_the_other_margins():
     c = pd.DataFrame([(s, l, "t", float(n)) for s, l, n in (("x", "en", 600), ("x", "de", 400), ("y", "en", 100), ("y", "de", 900))], columns=["source", "language", "topic", "tokens"])
     t = pd.DataFrame([("x", 0.5, 3), ("y", 0.5, 3)], columns=["source", "target_share", "max_repeats"])
