@@ -352,27 +352,28 @@ def match_sites(first: DataFrame, second: DataFrame, window: int = WINDOW, least
     pairs = materialize(_windows(records, window, least))
     across = pairs.filter("kind = 0").select("a", "b", F.col("confidence").alias("w"))
     within = pairs.filter("kind = 1 and confidence >= 0.75")
-    sites = connected_components(within, "a", "b").select(F.col("vertex").alias("a"), F.col("component").alias("site"))
+    # what several joins below refer to is written down, which keeps their plans small
+    sites = materialize(connected_components(within, "a", "b").select(F.col("vertex").alias("a"), F.col("component").alias("site")))
     across = materialize(across.join(sites, "a", "left").withColumn("site", F.coalesce("site", "a")))
     chosen = materialize(assign(across.groupBy(F.col("site").alias("a"), "b").agg(F.max("w").alias("w"))))
     own = materialize(across.groupBy("a", "site", "b").agg(F.max("w").alias("confidence")))
     entity = chosen.select(F.col("a").alias("site"), "b")
     met = own.join(entity, ["site", "b"]).select("a", "b", "confidence")
     # the other members of a site need not have met its entity in a window: each is compared with it
-    members = sites.unionByName(own.select("a", "site")).distinct().join(met.select("a"), "a", "left_anti")
+    members = materialize(sites.unionByName(own.select("a", "site")).distinct().join(met.select("a"), "a", "left_anti"))
     linked = materialize(met.unionByName(_compared(members.join(entity, "site").select("a", "b"), variants, b, least)))
     # a record that the assignment leaves out is a further record of a matched site if it is like one of that site's members, and
     # then of its entity, with which it is compared like them
     alike_pairs = pairs.filter("kind = 1")
     beside = alike_pairs.select("a", F.col("b").alias("m")).unionByName(alike_pairs.select(F.col("b").alias("a"), F.col("a").alias("m")))
-    rest = members.join(linked.select("a"), "a", "left_anti").select("a").distinct()
+    rest = materialize(members.join(linked.select("a"), "a", "left_anti").select("a").distinct())
     matched = linked.select(F.col("a").alias("m"), "b")
-    further = beside.join(rest, "a").join(matched, "m").select("a", "b").distinct()
+    further = materialize(beside.join(rest, "a").join(matched, "m").select("a", "b").distinct())
     # records that no window brought beside a member are compared with one of them, that most like the entity
     foremost = linked.groupBy("b").agg(F.max(F.struct("confidence", "a")).alias("m")).select("b", F.col("m.a").alias("m"))
-    met_other = own.join(rest, "a", "left_semi").join(further, ["a", "b"], "left_anti").join(foremost, "b").select("a", "b", "m")
+    met_other = materialize(own.join(rest, "a", "left_semi").join(further, ["a", "b"], "left_anti").join(foremost, "b").select("a", "b", "m"))
     like = _compared(met_other.select("a", F.col("m").alias("b")).distinct(), variants, plain_rows, least).select("a", F.col("b").alias("m"))
-    further = further.unionByName(met_other.join(like, ["a", "m"], "left_semi").select("a", "b")).distinct()
+    further = materialize(further.unionByName(met_other.join(like, ["a", "m"], "left_semi").select("a", "b")).distinct())
     seen = own.select("a", "b", "confidence").join(further, ["a", "b"], "left_semi")
     left = seen.unionByName(_compared(further.join(seen.select("a", "b"), ["a", "b"], "left_anti"), variants, b, least))
     left = left.groupBy("a").agg(F.max(F.struct("confidence", "b")).alias("m"))
