@@ -24,7 +24,7 @@ S = SparkSession
 # the network of the tests: reach n flows into reach n / 2; a satellite stands on reach 1 + comid % parts, a cluster on that of
 # the first satellite delivered as linked to it by reach, else on reach 1 + cluster number % parts
 
-_SATS = """np as (select count(*) n from part), sv as (select satellite_station_id s, cast(1 + satellite_comid % n as bigint) r, satellite_uparea_merit a, satellite_lat la, case when satellite_lon >= 180 then satellite_lon - 360 else satellite_lon end lo, satellite_lat between -90 and 90 and satellite_lon between -180 and 360 and not isnan(satellite_lat) and not isnan(satellite_lon) ok, linked_cluster_id c, link_method m from satellite_links, np where satellite_station_id is not null),
+_SATS = """np as (select max(p_partkey) n from part), sv as (select satellite_station_id s, cast(1 + satellite_comid % n as bigint) r, satellite_uparea_merit a, satellite_lat la, case when satellite_lon >= 180 then satellite_lon - 360 else satellite_lon end lo, satellite_lat between -90 and 90 and satellite_lon between -180 and 360 and not isnan(satellite_lat) and not isnan(satellite_lon) ok, linked_cluster_id c, link_method m from satellite_links, np where satellite_station_id is not null),
 sp as (select s, la, lo from (select s, la, lo, row_number() over (partition by s order by la, lo) k from sv where ok) where k = 1), sa as (select s, min(r) r, min(case when not isnan(a) then a end) a from sv group by 1), sat as (select sa.s, sa.r, sa.a, sp.la, sp.lo from sa left join sp on sp.s = sa.s)"""
 _SEGS = "seg as (select r, min(struct_pack(la := la, lo := lo)) p from (select r, la, lo from sat where la is not null union all select r, la, lo from cl) group by 1), sg as (select r, p.la la1, p.lo lo1, p.la + 0.01 la2, p.lo + 0.01 lo2 from seg)"
 
@@ -61,7 +61,7 @@ union all select rest.s, null, 'unlinked', null, null, case coalesce(why.r, 0) w
 union all select s, null, 'unlinked', null, null, case when la is null then 'missing_coordinates' else 'unresolved_reach' end from sat where la is null or r is null""")
 def satellite_link_rules(spark: S, sf: str) -> DataFrame:
     """Each satellite station with its cluster by reach or network, or the reason why it has none."""
-    n = table(spark, sf, "part", "p_partkey").agg(F.count("*").alias("n"))  # one row
+    n = table(spark, sf, "part", "p_partkey").agg(F.max("p_partkey").alias("n"))  # one row
     v = table(spark, sf, "satellite_links", "satellite_station_id", "satellite_comid", "satellite_uparea_merit", "satellite_lat", "satellite_lon", "linked_cluster_id", "link_method").filter("satellite_station_id is not null").join(F.broadcast(n))
     ok = valid_position(F.col("satellite_lat"), F.col("satellite_lon"))
     v = v.withColumn("reach", (1 + F.col("satellite_comid") % F.col("n")).cast("bigint"))
