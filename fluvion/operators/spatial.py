@@ -129,7 +129,8 @@ def within_distance(points: DataFrame, point_lat: str, point_lon: str, centres:
     p, cover = _salted(p, cover, hot_rows)
     cells = F.array(*[Grid.key(level, *grid.cell(F.col("_plat"), F.col("_plon"), level)) for level in range(grid.levels)])
     p = p.withColumn("_cell", F.explode(cells)).drop("_parent")
-    near = p.join(cover.drop("_parent"), ["_cell", "_salt"]).filter(F.col("_inside") | (haversine_m(F.col("_plat"), F.col("_plon"), F.col("_clat"), F.col("_clon"), radius) <= distance_m))
+    # never broadcast: the optimiser takes the cover for as small as its centres, of which each has a hundred rows or more
+    near = p.join(cover.drop("_parent").hint("merge"), ["_cell", "_salt"]).filter(F.col("_inside") | (haversine_m(F.col("_plat"), F.col("_plon"), F.col("_clat"), F.col("_clon"), radius) <= distance_m))
     theirs = [F.col(f"_c.`{c}`").alias(f"centre_{c}" if c in points.columns else c) for c in centres.columns]
     return near.select(*[F.col(f"_p.`{c}`") for c in points.columns], *theirs)
 
