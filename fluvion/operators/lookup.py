@@ -69,13 +69,15 @@ def stations_by_name(stations: DataFrame, requests: DataFrame, request: str, sou
 def nearest_stations(stations: DataFrame, lat: str, lon: str, station: str, places: DataFrame, place_lat: str, place_lon: str, place: str, k: int, radius_m: float = 50_000.0) -> DataFrame:
     """The ``k`` nearest stations of each place: place, station, distance_m, rank (ties: smallest station).
 
-    Circles grow twentyfold until they hold ``k`` stations or reach around the globe; a place that has its ``k`` is settled, so the few
-    lonely ones alone see the wide circles. Unusable positions take no part; repeated places count once.
+    Circles grow fourfold until they hold ``k`` stations or reach around the globe; a place that has its ``k`` is settled, so the few
+    lonely ones alone see the wide circles. The stations and what is left of the places are written down, so that no round's plan holds
+    those before it. Unusable positions take no part; repeated places count once.
     """
     from pyspark.sql import Window as W
 
     p = places.select(F.col(place).alias("_place"), F.col(place_lat).alias("_pla"), F.col(place_lon).alias("_plo")).dropDuplicates(["_place"])
     s = stations.select(F.col(station).alias("_st"), F.col(lat).alias("_sla"), F.col(lon).alias("_slo")).distinct()
+    s = materialize(s)
     done, at, around = None, radius_m, 20_100_000.0
     w = W.partitionBy("_place").orderBy("distance_m", "_st")
     while True:
@@ -85,8 +87,8 @@ def nearest_stations(stations: DataFrame, lat: str, lon: str, station: str, plac
         if not last:
             full = j.groupBy("_place").agg(F.count("*").alias("n")).filter(F.col("n") >= k)
             j = materialize(j.join(full.select("_place"), "_place", "left_semi"))
-            p = p.join(j.select("_place"), "_place", "left_anti")
+            p = materialize(p.join(j.select("_place").distinct(), "_place", "left_anti"))
         done = j if done is None else done.unionByName(j)
         if last or p.isEmpty():
             return done.select(F.col("_place").alias(place), F.col("_st").alias(station), "distance_m", "rank")
-        at = min(at * 20, around)
+        at = min(at * 4, around)
