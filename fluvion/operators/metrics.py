@@ -8,10 +8,17 @@ from pyspark.sql import functions as F
 from fluvion.operators.quantiles import with_quantiles
 
 
+def correlation(x: str, y: str) -> Column:
+    """Pearson's r of the rows that have both; null where either is the same in all of them, for which ``corr`` divides by zero."""
+    both = lambda c: F.when(F.col(x).isNotNull() & F.col(y).isNotNull(), F.col(c))
+    varies = (F.min(both(x)) < F.max(both(x))) & (F.min(both(y)) < F.max(both(y)))
+    return F.when(varies, F.covar_pop(x, y) / F.nullif(F.sqrt(F.var_pop(both(x))) * F.sqrt(F.var_pop(both(y))), F.lit(0.0)))
+
+
 def error_metrics(x: str, y: str, digits: int = 6) -> list[Column]:
     """Of value x against reference y: n, bias, rmse, mae, mape (over y <> 0), r and r2."""
     d = F.col(x) - F.col(y)
-    r = F.corr(x, y)
+    r = correlation(x, y)
     made = {
         "bias": F.avg(d),
         "rmse": F.sqrt(F.avg(d * d)),
