@@ -7,7 +7,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fluvion.session import materialize
+from fluvion.session import drop_tables, materialize
 
 BINS = 4096  # bins of the sampling order within a source
 
@@ -136,22 +136,23 @@ def mix(documents: DataFrame, targets: DataFrame, doc_id: str, source: Column, t
     return drawn.drop("language", "topic"), report
 
 
-def topics(documents: DataFrame, doc_id: str, text: str, k: int = 8, sample: int = 20_000, features: int = 1 << 12, seed: int = 42) -> DataFrame:
+def topics(documents: DataFrame, doc_id: str, text: str, k: int = 8, features: int = 1 << 12, seed: int = 42) -> DataFrame:
     """``documents`` with a topic, t0 to t{k-1}: clusters of hashed word counts, weighted by rarity.
 
-    The model is fitted on the ``sample`` documents that come first by a hash of their id (all, if there are fewer); every
-    document is then put into its nearest cluster by built-in expressions. Null and blank texts have the topic '?'.
+    Weights and clusters are fitted on all documents, whose counts are written down once; every document is then put into
+    its nearest cluster by built-in expressions. Null and blank texts have the topic '?'.
     """
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.feature import IDF, HashingTF, Normalizer
 
     words = documents.withColumn("_w", F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}]+"), lambda w: F.length(w) > 2))
     tf = HashingTF(inputCol="_w", outputCol="_tf", numFeatures=features)
-    some = materialize(words.filter(F.size("_w") > 0).select(F.xxhash64(doc_id, F.lit(seed)).alias("_h"), "_w").orderBy("_h").limit(sample))
-    if some.isEmpty():
+    counts = materialize(tf.transform(words.filter(F.size("_w") > 0).select("_w")).select("_tf"))
+    if counts.isEmpty():
         return documents.withColumn("topic", F.lit("?"))
-    idf = IDF(inputCol="_tf", outputCol="_x", minDocFreq=2).fit(tf.transform(some))
+    idf = IDF(inputCol="_tf", outputCol="_x", minDocFreq=2).fit(counts)
     unit = Normalizer(inputCol="_x", outputCol="_u")
-    model = KMeans(featuresCol="_u", predictionCol="_t", k=k, seed=seed, maxIter=8, initSteps=2).fit(unit.transform(idf.transform(tf.transform(some))))
+    model = KMeans(featuresCol="_u", predictionCol="_t", k=k, seed=seed, maxIter=8, initSteps=2).fit(unit.transform(idf.transform(counts)))
+    drop_tables(counts)
     out = model.transform(unit.transform(idf.transform(tf.transform(words))))
     return out.withColumn("topic", F.when(F.size("_w") == 0, "?").otherwise(F.concat(F.lit("t"), F.col("_t").cast("string")))).select(*documents.columns, "topic")
