@@ -16,6 +16,7 @@ from fluvion.plans.common import CATALOG, OBS, PAIRED, STATIONS, catalog, observ
 from fluvion.plans.joins import _CP, _D, _cluster_positions
 from fluvion.plans.registry import query
 from fluvion.plans.temporal import _FREQ, _frequencies
+from fluvion.session import materialize
 from fluvion.sources.tables import table
 
 S = SparkSession
@@ -318,7 +319,10 @@ def metrics_four_scopes(spark: S, sf: str) -> DataFrame:
 
 @query(_strata_sql(_LEVELS))
 def metrics_three_levels(spark: S, sf: str) -> DataFrame:
-    return error_metrics_by(_strata(paired(spark, sf), _LEVELS), ["scope", "cluster_uid", "satellite_source"], "x", "y", 5)
+    # written down, as the metrics and each pass of the quantiles would join the pairs again; merged, as the small files hide how large
+    # the rows of all levels are, which would be broadcast
+    p = materialize(paired(spark, sf).select("cluster_uid", "satellite_source", "x", "y")).hint("merge")
+    return error_metrics_by(_strata(p, _LEVELS), ["scope", "cluster_uid", "satellite_source"], "x", "y", 5)
 
 
 @query(f"with {PAIRED}, d as (select cluster_uid, day, satellite_source, x, avg(y) y, count(*) n from pr group by 1, 2, 3, 4) select satellite_source, sum(n) as n_pairs, count(*) as n_collapsed, round(median(x - y), 6) as median_difference from d group by 1")
